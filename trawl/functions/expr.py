@@ -15,3 +15,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     would be computed again for every element; a lambda variable is not.
     """
     return F.transform(F.array(value), body)[0]
+
+
+def bucket(key: Column, buckets: int) -> Column:
+    """Folder number of a key in the stored tables."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")

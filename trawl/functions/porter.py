@@ -1,9 +1,8 @@
-"""Porter's suffix-stripping algorithm (Program 14(3), 1980) as Spark column rules.
+"""Porter's suffix-stripping algorithm (Program 14(3), 1980) as Spark expressions.
 
-A word passes through a fixed list of steps; each step is a function from one
-Column to one Column built from string predicates and regular expressions, so
-the same steps run over a plain string column or inside ``transform`` over an
-array of words.
+A word ``w`` passes through a fixed list of steps. Each step is the SQL text of
+one expression over string predicates and regular expressions, applied to a
+whole array of words with ``transform``; the words never leave their row.
 
 Conventions inside the chain:
 
@@ -17,13 +16,9 @@ Conventions inside the chain:
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-Step = Callable[[Column], Column]
-
 _V = "[aeiouy]"
 _C = "[^aeiouy]"
 # What a stem must start with to have a measure above 0, or above 1.
@@ -50,139 +45,84 @@ STEP_4 = (
 )
 
 
-def _first_suffix(word: Column, rules: list[tuple[str, Column]]) -> Column:
-    """Apply the rule of the longest suffix that ``word`` has, and no other.
-
-    Rules are grouped by last letter, so most words meet a handful of tests.
-    """
-    by_last: dict[str, list[tuple[str, Column]]] = {}
-    for suffix, outcome in sorted(rules, key=lambda rule: -len(rule[0])):
-        by_last.setdefault(suffix[-1], []).append((suffix, outcome))
-
-    def group(group_rules):
-        chain = F
-        for suffix, outcome in group_rules:
-            chain = chain.when(word.endswith(suffix), outcome)
-        return chain.otherwise(word)
+def _case(*branches: tuple[str, str]) -> str:
+    """The first branch whose condition holds, else the word as it is."""
+    whens = " ".join(f"WHEN {condition} THEN {result}" for condition, result in branches)
+    return f"CASE {whens} ELSE w END"
 
-    chain = F
-    for last, group_rules in by_last.items():
-        chain = chain.when(word.endswith(last), group(group_rules))
-    return chain.otherwise(word)
 
+def _ends(suffix: str) -> str:
+    return f"endswith(w, '{suffix}')"
 
-def _swap(word: Column, condition: str, suffix: str, replacement: str = "") -> Column:
-    """Replace ``suffix`` where the stem before it satisfies ``condition``."""
-    return F.regexp_replace(word, f"^({condition}){suffix}$", f"$1{replacement}")
 
+def _cut(n: int) -> str:
+    return f"substring(w, 1, length(w) - {n})"
 
-def _cut(word: Column, n: int) -> Column:
-    """``word`` without its last ``n`` characters."""
-    return F.substring(word, F.lit(1), F.length(word) - n)
 
+def _matches(pattern: str) -> str:
+    return f"rlike(w, r'{pattern}')"
 
-def _enter(word: Column) -> Column:
-    marked = F.when(
-        F.contains(word, F.lit("y")),
-        F.regexp_replace(word, f"(^|{_V})y", "$1Y"),
-    ).otherwise(word)
-    return F.when(F.length(word) < 3, F.concat(word, F.lit("!"))).otherwise(marked)
 
+def _swap(condition: str, suffix: str, replacement: str = "") -> str:
+    """Replace ``suffix`` where the stem before it satisfies ``condition``."""
+    return f"regexp_replace(w, r'^({condition}){suffix}$', '$1{replacement}')"
 
-def _step_1a(word: Column) -> Column:
-    return _first_suffix(
-        word,
-        [("sses", _cut(word, 2)), ("ies", _cut(word, 2)), ("ss", word), ("s", _cut(word, 1))],
-    )
 
+def _first_suffix(*rules: tuple[str, str]) -> str:
+    """Apply the rule of the longest suffix that the word has, and no other.
 
-def _step_1b(word: Column) -> Column:
-    return _first_suffix(
-        word,
-        [
-            ("eed", _swap(word, f"{_M0}.*", "eed", "ee")),
-            ("ed", _swap(word, f".*{_V}.*", "ed", "+")),
-            ("ing", _swap(word, f".*{_V}.*", "ing", "+")),
-        ],
+    Rules are grouped by last letter, so most words meet a handful of tests.
+    """
+    by_last: dict[str, list[tuple[str, str]]] = {}
+    for suffix, result in sorted(rules, key=lambda rule: -len(rule[0])):
+        by_last.setdefault(suffix[-1], []).append((_ends(suffix), result))
+    return _case(*((_ends(last), _case(*group)) for last, group in by_last.items()))
+
+
+def _steps() -> list[str]:
+    has_vowel = f".*{_V}.*"
+    stem_4 = {suffix: f"{_M1}.*" for suffix in STEP_4}
+    stem_4["ion"] = f"{_M1}.*(?<=[st])"
+    add_e = "translate(w, '+', 'e')"
+    repair = (
+        f"CASE WHEN {_matches('(?:at|bl|iz)[+]$')} THEN {add_e} "
+        f"WHEN {_matches('([^aeiouylsz])' + chr(92) + '1[+]$')} THEN {_cut(2)} "
+        f"WHEN {_matches(f'^{_SHORT}[+]$')} THEN {add_e} ELSE {_cut(1)} END"
     )
-
-
-def _step_1b_repair(word: Column) -> Column:
-    repaired = (
-        F.when(word.rlike(r"(?:at|bl|iz)\+$"), F.translate(word, "+", "e"))
-        .when(
-            word.rlike(r"([^aeiouylsz])\1\+$"),
-            _cut(word, 2),
-        )
-        .when(word.rlike(rf"^{_SHORT}\+$"), F.translate(word, "+", "e"))
-        .otherwise(F.translate(word, "+", ""))
+    drop_e = (
+        f"{_ends('e')} AND ({_matches(f'^{_M1}.*e$')} OR "
+        f"({_matches(f'^{_C}*{_V}+{_C}+{_V}*e$')} AND NOT {_matches(f'^{_SHORT}e$')}))"
     )
-    return F.when(word.endswith("+"), repaired).otherwise(word)
-
-
-def _step_1c(word: Column) -> Column:
-    return F.when(
-        word.endswith("y") | word.endswith("Y"),
-        F.regexp_replace(word, f"^(.*{_V}.*)[yY]$", "$1i"),
-    ).otherwise(word)
-
-
-def _step_2(word: Column) -> Column:
-    return _first_suffix(word, [(s, _swap(word, f"{_M0}.*", s, r)) for s, r in STEP_2])
-
-
-def _step_3(word: Column) -> Column:
-    return _first_suffix(word, [(s, _swap(word, f"{_M0}.*", s, r)) for s, r in STEP_3])
-
-
-def _step_4(word: Column) -> Column:
-    def stem_shape(suffix):
-        return f"{_M1}.*" if suffix != "ion" else f"{_M1}.*(?<=[st])"
-
-    return _first_suffix(word, [(s, _swap(word, stem_shape(s), s)) for s in STEP_4])
-
-
-def _step_5a(word: Column) -> Column:
-    long_stem = word.rlike(f"^{_M1}.*e$")
-    measure_one = word.rlike(f"^{_C}*{_V}+{_C}+{_V}*e$")
-    short = word.rlike(f"^{_SHORT}e$")
-    return F.when(
-        word.endswith("e") & (long_stem | (measure_one & ~short)), _cut(word, 1)
-    ).otherwise(word)
-
-
-def _step_5b(word: Column) -> Column:
-    return F.when(word.endswith("ll") & word.rlike(f"^{_M1}"), _cut(word, 1)).otherwise(word)
-
-
-def _leave(word: Column) -> Column:
-    return (
-        F.when(word.endswith("!"), _cut(word, 1))
-        .when(F.contains(word, F.lit("Y")), F.lower(word))
-        .otherwise(word)
-    )
-
-
-STEPS: tuple[Step, ...] = (
-    _enter, _step_1a, _step_1b, _step_1b_repair, _step_1c,
-    _step_2, _step_3, _step_4, _step_5a, _step_5b, _leave,
-)
-
-
-def stem_column(df: DataFrame, source: str, target: str) -> DataFrame:
-    """Add ``target``, the stem of the lower-case word in ``source``.
-
-    One projection per step keeps each rule's input a plain column, so the
-    expression size stays linear in the number of rules.
-    """
-    df = df.withColumn(target, F.col(source))
-    for step in STEPS:
-        df = df.withColumn(target, step(F.col(target)))
-    return df
+    return [
+        _case(
+            ("length(w) < 3", "concat(w, '!')"),
+            ("contains(w, 'y')", f"regexp_replace(w, r'(^|{_V})y', '$1Y')"),
+        ),
+        # 1a, 1b with its repair, 1c
+        _first_suffix(("sses", _cut(2)), ("ies", _cut(2)), ("ss", "w"), ("s", _cut(1))),
+        _first_suffix(
+            ("eed", _swap(f"{_M0}.*", "eed", "ee")),
+            ("ed", _swap(has_vowel, "ed", "+")),
+            ("ing", _swap(has_vowel, "ing", "+")),
+        ),
+        _case((_ends("+"), repair)),
+        _case((f"{_ends('y')} OR {_ends('Y')}", _swap(has_vowel, "[yY]", "i"))),
+        # 2, 3, 4
+        _first_suffix(*((s, _swap(f"{_M0}.*", s, r)) for s, r in STEP_2)),
+        _first_suffix(*((s, _swap(f"{_M0}.*", s, r)) for s, r in STEP_3)),
+        _first_suffix(*((s, _swap(stem, s)) for s, stem in stem_4.items())),
+        # 5a, 5b
+        _case((drop_e, _cut(1))),
+        _case((f"{_ends('ll')} AND {_matches(f'^{_M1}')}", _cut(1))),
+        _case((_ends("!"), _cut(1)), ("contains(w, 'Y')", "lower(w)")),
+    ]
+
+
+STEPS = tuple(_steps())
 
 
 def stem_array(words: Column) -> Column:
-    """Stem every element of an array of lower-case words inside its row."""
+    """Stem every element of an array of lower-case words."""
     for step in STEPS:
-        words = F.transform(words, step)
+        words = F.call_function("transform", words, F.expr(f"w -> {step}"))
     return words

@@ -17,12 +17,6 @@ from pyspark.sql import functions as F
 from trawl.functions import dates, html, urls, words
 from trawl.sources.stopwords import default_stopwords
 
-ANALYSED_COLUMNS = (
-    "url", "title", "document_size", "modified", "max_tf", "document_chars",
-    "terms", "children",
-)
-
-
 def page_fields(pages: DataFrame) -> DataFrame:
     """Parse html: texts, title, date, byte size, resolved links; no shuffle."""
     size = F.try_to_number("size", F.lit("999999999")).cast("int")
@@ -95,10 +89,6 @@ def analyse(
     )
 
 
-def documents_of(analysed: DataFrame) -> DataFrame:
-    return analysed.drop("terms", "children")
-
-
 def postings_of(analysed: DataFrame) -> DataFrame:
     """One row per (word, page), with what scoring needs from the page.
 
@@ -131,12 +121,19 @@ def links_of(analysed: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """The tables of one index. ``postings`` carries the positions."""
+    """The tables of one index.
+
+    ``documents`` holds each page's children, ``postings`` the positions, and
+    ``corpus`` one row with the number of documents. ``buckets`` is set when the
+    tables come from a store, which files words and link targets by bucket.
+    """
 
     documents: DataFrame
     postings: DataFrame
     keywords: DataFrame
     links: DataFrame
+    corpus: DataFrame
+    buckets: int | None = None
 
     @property
     def positions(self) -> DataFrame:
@@ -145,7 +142,12 @@ class Index:
 
 def index_of(analysed: DataFrame) -> Index:
     """Index tables as views over analysed rows (nothing is stored)."""
+    documents = analysed.drop("terms")
     postings = postings_of(analysed)
     return Index(
-        documents_of(analysed), postings, keywords_of(postings), links_of(analysed)
+        documents,
+        postings,
+        keywords_of(postings),
+        links_of(analysed),
+        documents.agg(F.count("*").alias("n_documents")),
     )
