@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from trawl.functions.expr import let
+
 # Month names as mail and web headers write them.
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
@@ -18,34 +20,38 @@ _MONTH_FIRST = (
 )
 
 
+def _read(pattern: str, year: int, month: int, day: int, hour: int, minute: int, second: int) -> str:
+    """SQL text that reads ``h`` with the numbered groups of ``pattern``."""
+
+    def part(group):
+        return f"nullif(regexp_extract(h, r'{pattern}', {group}), '')"
+
+    def number(group):
+        return f"cast({part(group)} as int)"
+
+    short_year = f"if({number(year)} < 69, 2000, 1900)"
+    century = f"if(length({part(year)}) = 2, {short_year}, 0)"
+    month_at = f"instr('{MONTHS}', lower({part(month)}))"
+    return (
+        f"try_make_timestamp_ntz({century} + {number(year)}, "
+        f"if({month_at} % 3 = 1, cast(({month_at} + 2) / 3 as int), null), {number(day)}, "
+        f"{number(hour)}, {number(minute)}, "
+        f"cast(coalesce({number(second)}, 0) as decimal(16, 6)))"
+    )
+
+
+_HTTP_DATE = (
+    f"coalesce({_read(_DAY_FIRST, 3, 2, 1, 4, 5, 6)}, {_read(_MONTH_FIRST, 6, 1, 2, 3, 4, 5)})"
+)
+
+
 def http_date(header: Column) -> Column:
     """Date of a web header as written, whatever zone it names; null if unreadable.
 
     Takes the three forms in use: ``Sun, 06 Nov 1994 08:49:37 GMT``,
     ``Sunday, 06-Nov-94 08:49:37 GMT`` and ``Sun Nov  6 08:49:37 1994``.
     """
-
-    def read(pattern, year, month, day, hour, minute, second):
-        def part(group):
-            return F.nullif(F.regexp_extract(header, pattern, group), F.lit(""))
-
-        def number(group):
-            return part(group).cast("int")
-
-        century = F.when(
-            F.length(part(year)) == 2, F.when(number(year) < 69, 2000).otherwise(1900)
-        ).otherwise(0)
-        month_at = F.instr(F.lit(MONTHS), F.lower(part(month)))
-        month_number = F.when(month_at % 3 == 1, ((month_at + 2) / 3).cast("int"))
-        return F.try_make_timestamp_ntz(
-            century + number(year), month_number, number(day),
-            number(hour), number(minute),
-            F.coalesce(number(second), F.lit(0)).cast("decimal(16,6)"),
-        )
-
-    return F.coalesce(
-        read(_DAY_FIRST, 3, 2, 1, 4, 5, 6), read(_MONTH_FIRST, 6, 1, 2, 3, 4, 5)
-    )
+    return let(header, f"h -> {_HTTP_DATE}")
 
 
 def modified(in_page: Column, last_modified: Column, date: Column) -> Column:

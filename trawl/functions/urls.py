@@ -10,105 +10,72 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trawl.functions.expr import let
+from trawl.functions.expr import let, let_sql
 
 # Digits alone after the colon are a port, not the rest of an address.
 _SCHEME = r"(?s)^([A-Za-z0-9+.\-]+):(?!\d+\z)"
 _PARTS = r"(?s)^(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
 # Schemes whose addresses can be relative.
-_HIERARCHICAL = ("http", "https", "ftp", "file", "sftp", "")
+_HIERARCHICAL = "'http', 'https', 'ftp', 'file', 'sftp', ''"
 
 
-def _split(url: Column) -> Column:
+def _split(url: str) -> str:
     """``(scheme, authority, path, query, fragment)`` of an address."""
-    scheme = F.lower(F.regexp_extract(url, _SCHEME, 1))
-    rest = F.regexp_replace(url, _SCHEME, "")
-    return F.struct(
-        scheme.alias("scheme"),
-        *(
-            F.regexp_extract(rest, _PARTS, group).alias(name)
-            for group, name in enumerate(("authority", "path", "query", "fragment"), 1)
-        ),
+    parts = ", ".join(
+        f"'{name}', regexp_extract(rest, r'{_PARTS}', {group})"
+        for group, name in enumerate(("authority", "path", "query", "fragment"), 1)
+    )
+    scheme = f"'scheme', lower(regexp_extract({url}, r'{_SCHEME}', 1))"
+    return let_sql(
+        f"regexp_replace({url}, r'{_SCHEME}', '')", "rest", f"named_struct({scheme}, {parts})"
     )
 
 
-def _fold_dots(path: Column) -> Column:
-    """Fold ``.`` and ``..`` segments of a merged path."""
-
-    def fold(segments):
-        last = F.element_at(segments, -1)
-        empty = F.array(F.lit(""))
-
-        def push(done, segment):
-            top = F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(""))
-            can_pop = (segment == "..") & ~top.isin("", "..")
-            return (
-                F.when(segment == ".", done)
-                .when(can_pop, F.slice(done, 1, F.size(done) - 1))
-                .otherwise(F.concat(done, F.array(segment)))
-            )
-
-        inner = F.aggregate(
-            F.slice(segments, F.lit(1), F.size(segments) - 1),
-            F.slice(empty, 1, 0),
-            push,
-        )
-
-        def close(done):
-            # a closing ".." takes its parent, but never the root
-            parents = F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1))
-            return (
-                F.when(last == ".", F.concat(done, empty))
-                .when(
-                    (last == "..") & (F.size(done) > 0),
-                    F.concat(F.coalesce(parents, done), empty),
-                )
-                .otherwise(F.concat(done, F.array(last)))
-            )
-
-        return F.array_join(let(inner, close), "/")
-
-    folded = let(F.split(path, "/"), fold)
-    return F.when(F.contains(path, F.lit(".")), folded).otherwise(path)
-
-
-def _join(b: Column, h: Column) -> Column:
-    """Join a split target to a split base of the same scheme."""
-    own_authority = h["authority"] != ""
-    own_path = h["path"] != ""
-    directory = F.regexp_extract(b["path"], r"(?s)^(.*/)[^/]*\z", 1)
-    path = (
-        F.when(own_authority | h["path"].startswith("/"), h["path"])
-        .when(~own_path, b["path"])
-        .otherwise(_fold_dots(F.concat(directory, h["path"])))
-    )
-    own_query = own_authority | own_path | (h["query"] != "")
-    query = F.when(own_query, h["query"]).otherwise(b["query"])
-    rooted = F.when((path == "") | path.startswith("/"), path).otherwise(
-        F.concat(F.lit("/"), path)
-    )
-    return F.concat(
-        b["scheme"],
-        F.lit("://"),
-        F.when(own_authority, h["authority"]).otherwise(b["authority"]),
-        rooted,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-        F.when(h["fragment"] != "", F.concat(F.lit("#"), h["fragment"])).otherwise(""),
-    )
+# Fold "." and ".." of a merged path, segment by segment; ".." takes a segment
+# unless that is empty or ".." itself.
+_PUSH = """CASE
+    WHEN segment = '.' THEN done
+    WHEN segment = '..' AND coalesce(try_element_at(done, -1), '') NOT IN ('', '..')
+        THEN slice(done, 1, size(done) - 1)
+    ELSE concat(done, array(segment)) END"""
+# The last segment: "." leaves a folder, ".." its parent folder, never above the root.
+_CLOSE = """CASE
+    WHEN last = '.' THEN concat(done, array(''))
+    WHEN last = '..' AND size(done) > 1 THEN concat(slice(done, 1, size(done) - 1), array(''))
+    WHEN last = '..' AND size(done) = 1 THEN concat(done, array(''))
+    ELSE concat(done, array(last)) END"""
+_INNER = (
+    "aggregate(slice(segments, 1, size(segments) - 1), cast(array() as array<string>), "
+    f"(done, segment) -> {_PUSH})"
+)
+_FOLDED = let_sql(
+    "element_at(segments, -1)", "last", f"array_join({let_sql(_INNER, 'done', _CLOSE)}, '/')"
+)
+
+
+def _fold_dots(path: str) -> str:
+    folded = let_sql("split(path, '/')", "segments", _FOLDED)
+    return let_sql(path, "path", f"if(contains(path, '.'), {folded}, path)")
+
+
+_PATH = f"""CASE
+    WHEN h.authority <> '' OR startswith(h.path, '/') THEN h.path
+    WHEN h.path = '' THEN b.path
+    ELSE {_fold_dots("concat(regexp_extract(b.path, r'(?s)^(.*/)[^/]*$', 1), h.path)")} END"""
+_QUERY = "if(h.authority <> '' OR h.path <> '' OR h.query <> '', h.query, b.query)"
+_JOINED = f"""concat(
+    b.scheme, '://', if(h.authority <> '', h.authority, b.authority),
+    {let_sql(_PATH, "p", "if(p = '' OR startswith(p, '/'), p, concat('/', p))")},
+    {let_sql(_QUERY, "q", "if(q <> '', concat('?', q), '')")},
+    if(h.fragment <> '', concat('#', h.fragment), ''))"""
+_CHOSEN = f"""CASE
+    WHEN h.scheme <> '' AND h.scheme <> b.scheme THEN href
+    WHEN b.scheme NOT IN ({_HIERARCHICAL}) THEN href
+    ELSE {_JOINED} END"""
+_RESOLVED = f"if(href = '', page.base, {let_sql(_split('href'), 'h', _CHOSEN)})"
+_ALL = let_sql(_split("page.base"), "b", f"transform(page.targets, href -> {_RESOLVED})")
 
 
 def resolve_all(base: Column, targets: Column) -> Column:
     """Absolute addresses of an array of link targets on the page ``base``."""
-
-    def against(b):
-        def one(href):
-            def choose(h):
-                foreign = (h["scheme"] != "") & (h["scheme"] != b["scheme"])
-                opaque = ~b["scheme"].isin(*_HIERARCHICAL)
-                return F.when(foreign | opaque, href).otherwise(_join(b, h))
-
-            return F.when(href == "", base).otherwise(let(_split(href), choose))
-
-        return F.transform(targets, one)
-
-    return let(_split(base), against)
+    return let(F.struct(base.alias("base"), targets.alias("targets")), f"page -> {_ALL}")

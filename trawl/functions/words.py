@@ -7,7 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trawl.functions.expr import let
+from trawl.functions.expr import each, let, let_sql
 from trawl.functions.porter import stem_array
 
 WORD = r"([A-Za-z0-9][A-Za-z0-9\-_]*)"
@@ -33,59 +33,44 @@ def stems(words: Column) -> Column:
     return stem_array(words)
 
 
-def _entries(kept_stems: Column, title_marks: Column) -> Column:
-    """Sorted ``(word, position)`` pairs of one page.
-
-    Kept words carry their position, counted over kept words only. Every title
-    word adds a mark at position -1, which sorts ahead of the word's positions,
-    so "is it in the title" needs no search per word.
-    """
-    marks = F.transform(
-        F.array_distinct(title_marks),
-        lambda word: F.struct(word.alias("word"), F.lit(-1).alias("position")),
-    )
-    body = F.transform(
-        kept_stems, lambda word, i: F.struct(word.alias("word"), i.alias("position"))
-    )
-    return F.array_sort(F.concat(marks, body))
-
-
-def _run_starts(words: Column) -> Column:
-    """Indexes at which a sorted array moves on to a new word."""
-    return F.array_compact(
-        F.transform(
-            words,
-            lambda word, i: F.when((i == 0) | (word != F.get(words, i - 1)), i),
-        )
-    )
-
-
-def _terms(words: Column, positions: Column, starts: Column) -> Column:
-    def run(start, i):
-        length = F.coalesce(F.get(starts, i + 1), F.size(words)) - start
-        marked = (F.get(positions, start) == -1).cast("int")
-        return F.struct(
-            F.get(words, start).alias("word"),
-            (length - marked).alias("term_frequency"),
-            (marked == 1).alias("in_title"),
-            F.slice(positions, start + marked + 1, length - marked).alias("positions"),
-        )
-
-    return F.filter(F.transform(starts, run), lambda term: term["term_frequency"] > 0)
+# Indexes at which the sorted entries ``e`` move on to a new word.
+_RUN_STARTS = (
+    "array_compact(transform(e.words, (word, i) -> "
+    "if(i = 0 OR word <> get(e.words, i - 1), i, null)))"
+)
+# One run of entries, from ``start`` to the next start, as a term.
+_RUN = let_sql(
+    "coalesce(get(starts, i + 1), size(e.words)) - start",
+    "length",
+    let_sql(
+        "if(get(e.positions, start) = -1, 1, 0)",
+        "marks",
+        "named_struct('word', get(e.words, start), 'term_frequency', length - marks, "
+        "'in_title', marks = 1, "
+        "'positions', slice(e.positions, start + marks + 1, length - marks))",
+    ),
+)
+_TERMS = let_sql(
+    _RUN_STARTS,
+    "starts",
+    f"filter(transform(starts, (start, i) -> {_RUN}), term -> term.term_frequency > 0)",
+)
 
 
 def terms_of(kept_stems: Column, title_marks: Column) -> Column:
     """Group a page's stems: ``(word, term_frequency, in_title, positions)`` each.
 
-    One sort inside the row replaces a shuffle of every word by (page, word).
+    One sort of ``(word, position)`` pairs inside the row replaces a shuffle of
+    every word by (page, word). Kept words carry their position, counted over
+    kept words only. Every title word adds a mark at position -1, which sorts
+    ahead of the word's positions, so "is it in the title" needs no search.
     """
-    return let(
-        _entries(kept_stems, title_marks),
-        lambda entries: let(
-            F.struct(entries["word"].alias("words"), entries["position"].alias("positions")),
-            lambda e: let(
-                _run_starts(e["words"]),
-                lambda starts: _terms(e["words"], e["positions"], starts),
-            ),
-        ),
+    marks = each(
+        F.array_distinct(title_marks), "word -> named_struct('word', word, 'position', -1)"
+    )
+    body = each(kept_stems, "(word, i) -> named_struct('word', word, 'position', i)")
+    entries = let(
+        F.array_sort(F.concat(marks, body)),
+        "sorted -> named_struct('words', sorted.word, 'positions', sorted.position)",
     )
+    return let(entries, f"e -> {_TERMS}")

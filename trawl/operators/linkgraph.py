@@ -11,6 +11,8 @@ from trawl.session import shared_dir
 
 # Parents listed in one row; a page with more gets more rows.
 PARENTS_PER_PART = 10_000
+# Crawl levels that may be read as separate tables before they are joined in one.
+LEVELS_PER_CHECKPOINT = 10
 
 
 def parents_of(index: Index, urls: DataFrame) -> DataFrame:
@@ -85,7 +87,7 @@ def _in_order(level: DataFrame) -> DataFrame:
     gives an order; the ids have gaps.
     """
     return (
-        level.orderBy("parent_order", "link_position")
+        level.orderBy("parent_order", "link_position", "url")
         .withColumn("_id", F.monotonically_increasing_id())
         .checkpoint()
     )
@@ -110,8 +112,9 @@ def crawl_order(
 
     Each round joins the newest level to the edges and keeps targets that are
     pages and were not seen before. Within a level, pages follow the order of
-    the page that first links to them and then that link's position. Stops when
-    a level is empty or ``limit`` pages are reached.
+    the page that first links to them, then that link's position (then url, should
+    two links share one). Stops when a level is empty or ``limit`` pages are
+    reached.
 
     Columns ``url, depth, parent_url, link_position, level_order``; sorting by
     ``depth, level_order`` gives the crawl order.
@@ -145,7 +148,9 @@ def crawl_order(
         if room is not None and size > room:
             level = level.where(F.col("_id") <= _id_at(level, room))
             size = room
-        visited = level if visited is None else visited.unionByName(level).checkpoint()
+        visited = level if visited is None else visited.unionByName(level)
+        if depth % LEVELS_PER_CHECKPOINT == LEVELS_PER_CHECKPOINT - 1:
+            visited = visited.checkpoint()
         if size == 0 or (room is not None and size >= room):
             break
         room = None if room is None else room - size

@@ -82,9 +82,13 @@ def all_results(index: Index, parsed: DataFrame) -> DataFrame:
     return _described(index, scores(index, parsed)).orderBy("query_id", *rank_order())
 
 
-def top_results(index: Index, parsed: DataFrame, k: int = 50) -> DataFrame:
+def top_results(
+    index: Index, parsed: DataFrame, k: int = 50, hits: DataFrame | None = None
+) -> DataFrame:
     """The first ``k`` results per query with their 1-based ``position``.
 
+    ``hits`` are the scores of the queries, should they be at hand already.
+
     Two steps: keep what can still be among the first ``k`` by score, ties
     included, and only then fetch page details to settle the order. Spark cuts
     both rankings to ``k`` within each task before it shuffles, so a query that
@@ -92,7 +96,7 @@ def top_results(index: Index, parsed: DataFrame, k: int = 50) -> DataFrame:
     """
     per_query = Window.partitionBy("query_id")
     contenders = (
-        scores(index, parsed)
+        (scores(index, parsed) if hits is None else hits)
         .withColumn("_rank", F.rank().over(per_query.orderBy(_by_score())))
         .where(F.col("_rank") <= k)
         .drop("_rank")
@@ -104,9 +108,12 @@ def top_results(index: Index, parsed: DataFrame, k: int = 50) -> DataFrame:
     )
 
 
-def hit_counts(index: Index, parsed: DataFrame, k: int = 50) -> DataFrame:
+def hit_counts(
+    index: Index, parsed: DataFrame, k: int = 50, hits: DataFrame | None = None
+) -> DataFrame:
     """Per query the number of matches and its label; 0 for a query without any."""
-    counts = scores(index, parsed).groupBy("query_id").agg(F.count("*").alias("n"))
+    hits = scores(index, parsed) if hits is None else hits
+    counts = hits.groupBy("query_id").agg(F.count("*").alias("n"))
     total = F.coalesce("n", F.lit(0))
     label = F.when(total > k, F.concat(total.cast("string"), F.lit(f" ({k} shown)"))).otherwise(
         total.cast("string")
