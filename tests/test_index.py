@@ -91,9 +91,9 @@ def test_custom_stopwords_and_plain_text(spark):
     assert [t.word for t in row.terms] == ["cat", "the"]
 
 
-def test_no_shuffle_and_no_python_before_the_vocabulary(pages):
+def test_no_keyed_shuffle_and_no_python_before_the_vocabulary(pages):
     index = index_of(analyse(page_fields(html_pages(pages))))
     for table in (index.documents, index.postings, index.links, index.positions):
         plan = table._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange" not in plan
+        assert "hashpartitioning" not in plan
         assert "Python" not in plan

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions.expr import bucket
 from trawl.plans.index import Index
+from trawl.session import written
 
 
 def _with_bucket(words: DataFrame, index: Index) -> tuple[DataFrame, list[str]]:
@@ -41,7 +42,10 @@ def known_terms(index: Index, parsed: DataFrame) -> DataFrame:
 
 
 def known_phrase_words(index: Index, parsed: DataFrame) -> DataFrame:
-    """Known words of every phrase with offsets counted over known words only."""
+    """Known words of every phrase with offsets counted over known words only.
+
+    ``is_rarest`` marks the word of the phrase that the fewest pages hold.
+    """
     phrases = parsed.select("query_id", F.posexplode("phrases").alias("phrase_id", "phrase"))
     words = phrases.select(
         "query_id", "phrase_id", F.posexplode("phrase").alias("raw_offset", "word")
@@ -52,6 +56,10 @@ def known_phrase_words(index: Index, parsed: DataFrame) -> DataFrame:
         words.join(index.keywords, keys)
         .withColumn("offset", F.row_number().over(in_phrase.orderBy("raw_offset")) - 1)
         .withColumn("n_words", F.count("*").over(in_phrase))
+        .withColumn(
+            "is_rarest",
+            F.row_number().over(in_phrase.orderBy("document_frequency", "raw_offset")) == 1,
+        )
         .drop("raw_offset", "document_frequency")
     )
 
@@ -59,34 +67,48 @@ def known_phrase_words(index: Index, parsed: DataFrame) -> DataFrame:
 def postings_for(index: Index, words: DataFrame) -> DataFrame:
     """Join query words to their postings."""
     keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
-    return words.join(index.postings, keys)
+    return index.postings.join(words, keys)
 
 
 def phrase_hits(index: Index, parsed: DataFrame) -> DataFrame:
     """Pages that hold a phrase: ``query_id, phrase_id, url``.
 
-    Per (phrase, page) the position lists of the phrase's words, each moved back
-    by the word's offset, must share a position. A group holds one list per
-    phrase word of one page, however frequent the words are.
+    A phrase starts where each of its words stands at its own offset. Its rarest
+    word names the pages and starts to look at; the other words are then read
+    for those pages only, so a frequent word costs no more than its rare
+    neighbour. That second join is keyed by word and page, which spreads a
+    frequent word over all its pages. A word allows a start once per offset, so
+    counting is enough and repeated words need no care.
     """
-    found = postings_for(index, known_phrase_words(index, parsed))
-    lists = found.groupBy("query_id", "phrase_id", "url", "n_words").agg(
-        F.collect_list(F.struct("offset", "positions")).alias("lists")
-    )
+    words = written(known_phrase_words(index, parsed), "phrase-words")
+    phrase = ["query_id", "phrase_id"]
 
-    def starts(entry):
-        return F.transform(entry["positions"], lambda at: at - entry["offset"])
+    def starts(offset):
+        return F.transform("positions", lambda at: at - offset)
 
-    shared = F.aggregate(
-        F.slice("lists", F.lit(2), F.size("lists")),
-        starts(F.col("lists")[0]),
-        lambda common, entry: F.array_intersect(common, starts(entry)),
+    rarest = postings_for(index, words.where("is_rarest")).select(
+        *phrase, "n_words", "url", starts(F.col("offset")).alias("starts")
     )
-    return (
-        lists.where(F.size("lists") == F.col("n_words"))
-        .where(F.size(shared) > 0)
-        .select("query_id", "phrase_id", "url")
+    keys = [name for name in ("word_bucket", "word") if name in words.columns]
+    others = words.where("NOT is_rarest").select(*phrase, *keys, "offset")
+    # One row per page and further word; a phrase of one word has no word here.
+    wanted = written(rarest.join(others, phrase, "left"), "phrase-pages")
+    agreed = (
+        index.postings.select(*keys, "url", "positions")
+        .join(wanted.where("word IS NOT NULL"), [*keys, "url"])
+        .select(
+            *phrase,
+            "url",
+            "n_words",
+            F.explode(F.array_intersect("starts", starts(F.col("offset")))).alias("start"),
+        )
+        .groupBy(*phrase, "url", "n_words", "start")
+        .agg(F.count("*").alias("n_agreeing"))
+        .where("n_agreeing = n_words - 1")
+        .select(*phrase, "url")
+        .distinct()
     )
+    return agreed.unionByName(wanted.where("word IS NULL").select(*phrase, "url"))
 
 
 def pages_with_all_phrases(index: Index, parsed: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trawl.functions.dates import display_date
 from trawl.operators.matching import known_terms, pages_with_all_phrases, postings_for
 from trawl.plans.index import Index
+from trawl.session import written
 
 TITLE_BOOST = 1000
 # Scores that agree to this many digits tie: the order of a floating-point sum
@@ -16,11 +17,16 @@ SCORE_DIGITS = 9
 
 
 def term_weights(index: Index, parsed: DataFrame) -> DataFrame:
-    """Weight of every known query word on every page that holds it."""
+    """Weight of every known query word on every page that holds it.
+
+    The known words are written first: their true size tells Spark whether to
+    send them to the postings, which then never move before they are weighed.
+    """
+    known = written(known_terms(index, parsed), "terms")
     n_documents = index.corpus.scalar()
     idf = F.log2(n_documents / F.col("document_frequency"))
     boost = F.when(F.col("in_title"), TITLE_BOOST).otherwise(1)
-    return postings_for(index, known_terms(index, parsed)).select(
+    return postings_for(index, known).select(
         "query_id",
         "url",
         "word",
@@ -35,13 +41,19 @@ def term_weights(index: Index, parsed: DataFrame) -> DataFrame:
 def scores(index: Index, parsed: DataFrame) -> DataFrame:
     """``query_id, url, score`` of all matching pages, phrases enforced.
 
-    The page size and the query's word count are constant within a group; as
-    grouping columns they leave a plain sum, which combines before the shuffle.
+    The page size and the query's counts are constant within a group, so any
+    aggregate returns them; keeping them out of the key lets the grouping and
+    the phrase join share one shuffle.
     """
     totals = (
         term_weights(index, parsed)
-        .groupBy("query_id", "url", "document_size", "n_known", "n_phrases")
-        .agg(F.sum("weight").alias("total"))
+        .groupBy("query_id", "url")
+        .agg(
+            F.sum("weight").alias("total"),
+            F.max("document_size").alias("document_size"),
+            F.max("n_known").alias("n_known"),
+            F.max("n_phrases").alias("n_phrases"),
+        )
     )
     holding = pages_with_all_phrases(index, parsed).withColumn("_holds", F.lit(True))
     return (

@@ -15,13 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import dates, html, urls, words
+from trawl.session import spread
 from trawl.sources.stopwords import default_stopwords
 
 def page_fields(pages: DataFrame) -> DataFrame:
-    """Parse html: texts, title, date, byte size, resolved links; no shuffle."""
+    """Parse html: texts, title, date, byte size, resolved links."""
     size = F.try_to_number("size", F.lit("999999999")).cast("int")
     return (
-        pages.withColumn("_parts", html.regions(F.col("html")))
+        spread(pages)
+        .withColumn("_parts", html.regions(F.col("html")))
         .withColumn("title_text", html.text_of(html.title_markup(F.col("_parts.head"))))
         .withColumn("body_text", html.text_of(F.col("_parts.body")))
         .select(
@@ -41,7 +43,7 @@ def page_fields(pages: DataFrame) -> DataFrame:
 
 def plain_fields(texts: DataFrame, url: Column, text: Column) -> DataFrame:
     """The same fields for plain texts: no title, date or links."""
-    return texts.where(text.isNotNull()).select(
+    return spread(texts.where(text.isNotNull())).select(
         url.alias("url"),
         F.lit("").alias("title_text"),
         text.alias("body_text"),

@@ -39,3 +39,17 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     path = new_folder(rows.sparkSession, name)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal an input over all cores if its scan would leave some idle.
+
+    A scan makes a task per ``maxPartitionBytes``, or per row group if those are
+    larger, too few for the CPU-heavy analysis of a small table. Larger inputs
+    fill the cluster by themselves and are returned as they are, unshuffled.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if size < cores * split else rows
