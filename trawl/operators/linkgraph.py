@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from trawl.functions.expr import bucket
 from trawl.plans.index import Index
-from trawl.session import shared_dir
+from trawl.session import written
 
 # Parents listed in one row; a page with more gets more rows.
 PARENTS_PER_PART = 10_000
 # Crawl levels that may be read as separate tables before they are joined in one.
-LEVELS_PER_CHECKPOINT = 10
+LEVELS_PER_TABLE = 10
 
 
 def parents_of(index: Index, urls: DataFrame) -> DataFrame:
@@ -86,11 +86,8 @@ def _in_order(level: DataFrame) -> DataFrame:
     A range-partitioned sort followed by ids that grow with partition and row
     gives an order; the ids have gaps.
     """
-    return (
-        level.orderBy("parent_order", "link_position", "url")
-        .withColumn("_id", F.monotonically_increasing_id())
-        .checkpoint()
-    )
+    ordered = level.orderBy("parent_order", "link_position", "url")
+    return written(ordered.withColumn("_id", F.monotonically_increasing_id()), "level")
 
 
 def _id_at(level: DataFrame, count: int) -> int:
@@ -119,15 +116,13 @@ def crawl_order(
     Columns ``url, depth, parent_url, link_position, level_order``; sorting by
     ``depth, level_order`` gives the crawl order.
     """
-    spark = links.sparkSession
-    shared_dir(spark)
-    # Partition the edges once: every level then only shuffles its own pages.
-    edges = (
+    # Levels and edges are written tables: a small level is sent to the edges,
+    # a large one meets them in a shuffle that splits a page with most links.
+    edges = written(
         links.where("parent_url <> child_url")
         .join(pages.select(F.col("url").alias("child_url")), "child_url", "left_semi")
-        .select("parent_url", "child_url", "link_position")
-        .repartition("parent_url")
-        .checkpoint()
+        .select("parent_url", "child_url", "link_position"),
+        "edges",
     )
     level = (
         pages.where(F.col("url") == start_url)
@@ -149,8 +144,8 @@ def crawl_order(
             level = level.where(F.col("_id") <= _id_at(level, room))
             size = room
         visited = level if visited is None else visited.unionByName(level)
-        if depth % LEVELS_PER_CHECKPOINT == LEVELS_PER_CHECKPOINT - 1:
-            visited = visited.checkpoint()
+        if depth % LEVELS_PER_TABLE == LEVELS_PER_TABLE - 1:
+            visited = written(visited, "visited")
         if size == 0 or (room is not None and size >= room):
             break
         room = None if room is None else room - size
@@ -158,7 +153,8 @@ def crawl_order(
         found = edges.join(
             level.select(F.col("url").alias("parent_url"), F.col("_id").alias("parent_order")),
             "parent_url",
-        ).groupBy("child_url").agg(
+        )
+        found = found.groupBy("child_url").agg(
             F.min(F.struct("parent_order", "link_position", "parent_url")).alias("via")
         )
         level = (

@@ -101,17 +101,24 @@ def top_results(
 
     ``hits`` are the scores of the queries, should they be at hand already.
 
-    Two steps: keep what can still be among the first ``k`` by score, ties
-    included, and only then fetch page details to settle the order. Spark cuts
-    both rankings to ``k`` within each task before it shuffles, so a query that
-    matches everything stays cheap.
+    A query's k-th best score is found first; hits that reach it, ties included,
+    then get their page details, which settle the order. Both rankings number
+    rows without ties, so Spark keeps at most ``k`` rows per query and task
+    before it shuffles, even for a query that every page matches equally well.
     """
+    hits = written(scores(index, parsed), "hits") if hits is None else hits
     per_query = Window.partitionBy("query_id")
+    thresholds = (
+        hits.select("query_id", "score")
+        .withColumn("_n", F.row_number().over(per_query.orderBy(_by_score())))
+        .where(F.col("_n") <= k)
+        .groupBy("query_id")
+        .agg(F.min(F.round("score", SCORE_DIGITS)).alias("_least"))
+    )
     contenders = (
-        (scores(index, parsed) if hits is None else hits)
-        .withColumn("_rank", F.rank().over(per_query.orderBy(_by_score())))
-        .where(F.col("_rank") <= k)
-        .drop("_rank")
+        hits.join(written(thresholds, "thresholds"), "query_id")
+        .where(F.round("score", SCORE_DIGITS) >= F.col("_least"))
+        .drop("_least")
     )
     return (
         _described(index, contenders)
