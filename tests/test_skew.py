@@ -38,3 +38,13 @@ def test_popular_page_keeps_every_parent(spark, skewed):
     assert len(rows) > 5 and max(len(r.parents) for r in rows) < N / 2
     assert sum(len(r.parents) for r in rows) == N
     assert len({p for r in rows for p in r.parents}) == N
+
+
+def test_query_words_prune_the_postings_folders(spark, skewed):
+    from trawl.operators.scoring import term_weights
+
+    parsed = parse_queries(spark.createDataFrame([(0, "word0")], "query_id int, query string"))
+    plan = term_weights(skewed, parsed)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    scan = plan[plan.index("PushedFilters"):]
+    assert "positions" not in scan[: scan.index("\n")]

@@ -47,6 +47,11 @@ def test_batches_equal_a_rebuild(spark, pages, changed, expected):
     index_batch(store, changed, 2)
     assert tables(store.load()) == expected
     assert store.forward().count() == 5
+    compact = IndexStore(spark, new_folder(spark, "compact"), buckets=2)
+    compact.append(store.forward(), 0)
+    assert tables(compact.load()) == expected
+    seen = [set(s.load().documents.select("url", "fetched").collect()) for s in (store, compact)]
+    assert seen[0] == seen[1]
 
 
 def test_failed_batch_is_invisible_and_can_be_repeated(spark, pages, changed, expected, monkeypatch):

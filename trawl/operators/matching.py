@@ -65,9 +65,13 @@ def known_phrase_words(index: Index, parsed: DataFrame) -> DataFrame:
 
 
 def postings_for(index: Index, words: DataFrame) -> DataFrame:
-    """Join query words to their postings."""
+    """Join query words to their postings.
+
+    The filter holds for every word; it tells Spark that the words are a
+    selection, and so worth pruning the postings' folders by.
+    """
     keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
-    return index.postings.join(words, keys)
+    return index.postings.join(words.where(F.length("word") > 0), keys)
 
 
 def phrase_hits(index: Index, parsed: DataFrame) -> DataFrame:
@@ -95,7 +99,7 @@ def phrase_hits(index: Index, parsed: DataFrame) -> DataFrame:
     wanted = written(rarest.join(others, phrase, "left"), "phrase-pages")
     agreed = (
         index.postings.select(*keys, "url", "positions")
-        .join(wanted.where("word IS NOT NULL"), [*keys, "url"])
+        .join(wanted.where(F.length("word") > 0), [*keys, "url"])
         .select(
             *phrase,
             "url",

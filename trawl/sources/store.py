@@ -134,13 +134,16 @@ class IndexStore:
 
         ``modified`` is kept from the known page when the new one has none, and
         ``fetched`` is the time the url was first indexed. A batch that is
-        already committed is left as it is.
+        already committed is left as it is. Rows of another store's ``forward``
+        are accepted too: as one batch of a new store they make a compact copy.
         """
         rows = self.batches()
         if batch in {row.batch for row in rows}:
             return
         known = [row for row in rows if row.batch < batch]
-        fresh = analysed.withColumn("fetched", F.current_timestamp())
+        now = F.current_timestamp()
+        first_seen = F.coalesce("fetched", now) if "fetched" in analysed.columns else now
+        fresh = analysed.drop("batch").withColumn("fetched", first_seen)
         replaced = 0
         if known:
             self._write(fresh, "staging", batch)
