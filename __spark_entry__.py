@@ -521,9 +521,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return search_results(spark, "/root/testdata/sf0.001")
 
 
+def _training() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and SQL of the optional subpackage ``llm`` and of the pipeline on it."""
+    try:
+        import corpus_pipeline
+        from trawl.llm.queries import ORACLE_SQL, QUERIES
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "trawl.llm"):
+            raise
+        return {}, {}
+    checks = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, {**ORACLE_SQL, **checks}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _training()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return trawl_oracle.oracle_sql()
+    return trawl_oracle.oracle_sql() | _training()[1]
