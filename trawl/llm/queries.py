@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawl.llm.fingerprints import edited_fingerprints
+from trawl.llm.html_text import extract
+from trawl.llm.lines import without_spread_lines
+from trawl.llm.mixing import mix
 from trawl.llm.tokens import token_counts
 
 
@@ -14,6 +18,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "size", "source_size", "target", "taken")
+    return mix(_table(spark, sf_dir, "documents")).select(*columns)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -21,8 +30,49 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, total, removed = without_spread_lines(_table(spark, sf_dir, "documents"))
+    return docs.select(
+        "doc_id", F.col(total).alias("n_lines"), F.col(removed).alias("n_removed"), "text"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op4_token_counts": op4_token_counts,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_html_text": op7_html_text,
+    "op8_line_dedup": op8_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_line_dedup": r"""
+WITH line AS (
+  SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+filled AS (SELECT * FROM line WHERE NOT regexp_full_match(line, '[\x20\x09-\x0D]*')),
+place AS (
+  SELECT line, coalesce(source, chr(0)) AS site, lag(line) OVER w AS above, lead(line) OVER w AS below
+  FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+context AS (SELECT line, above, below, min(site) AS site FROM place GROUP BY line, above, below),
+spread AS (SELECT line FROM context GROUP BY line HAVING count(DISTINCT site) >= 5),
+marked AS (
+  SELECT doc_id, pos, line, line IN (SELECT line FROM spread) AS gone,
+         NOT regexp_full_match(line, '[\x20\x09-\x0D]*') AS is_filled
+  FROM line)
+SELECT d.doc_id, count(*) FILTER (is_filled) AS n_lines,
+       count(*) FILTER (gone AND is_filled) AS n_removed,
+       CASE WHEN count(*) FILTER (gone) = 0 THEN any_value(d.text)
+            ELSE coalesce(string_agg(m.line, chr(10) ORDER BY pos) FILTER (NOT gone), '') END AS text
+FROM documents d JOIN marked m USING (doc_id) GROUP BY d.doc_id
+""",
+}
