@@ -11,6 +11,7 @@ from trawl.llm.fingerprints import edited_fingerprints
 from trawl.llm.html_text import extract
 from trawl.llm.lines import without_spread_lines
 from trawl.llm.mixing import mix
+from trawl.llm.near_dup import near_duplicates
 from trawl.llm.tokens import token_counts
 
 
@@ -23,6 +24,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), 85)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,6 +52,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op3_near_dup": op3_near_dup,
     "op4_token_counts": op4_token_counts,
     "op6_fingerprints": op6_fingerprints,
     "op7_html_text": op7_html_text,
