@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trawl.llm.fingerprints import edited_fingerprints
 from trawl.llm.html_text import extract
+from trawl.llm.language import identify
 from trawl.llm.lines import without_spread_lines
 from trawl.llm.mixing import mix
 from trawl.llm.near_dup import near_duplicates
@@ -50,6 +51,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op3_near_dup": op3_near_dup,
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
     "op7_html_text": op7_html_text,
     "op8_line_dedup": op8_line_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
