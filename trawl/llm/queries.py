@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawl.llm.decontaminate import contaminations
 from trawl.llm.fingerprints import edited_fingerprints
 from trawl.llm.html_text import extract
 from trawl.llm.language import identify
@@ -51,6 +52,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
     "op7_html_text": op7_html_text,
     "op8_line_dedup": op8_line_dedup,
+    "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
 }
 
