@@ -14,6 +14,7 @@ from trawl.llm.language import identify
 from trawl.llm.lines import without_spread_lines
 from trawl.llm.mixing import mix
 from trawl.llm.near_dup import near_duplicates
+from trawl.llm.substrings import repeated_passages
 from trawl.llm.tokens import token_counts
 
 
@@ -37,6 +38,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op3_near_dup": op3_near_dup,
     "op4_token_counts": op4_token_counts,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op7_html_text": op7_html_text,
     "op8_line_dedup": op8_line_dedup,
