@@ -14,6 +14,7 @@ from trawl.llm.language import identify
 from trawl.llm.lines import without_spread_lines
 from trawl.llm.mixing import mix
 from trawl.llm.near_dup import near_duplicates
+from trawl.llm.pii import find_personal_data
 from trawl.llm.substrings import repeated_passages
 from trawl.llm.tokens import token_counts
 
@@ -27,6 +28,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), 85)
 
@@ -67,6 +72,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_pii": op2_pii,
     "op3_near_dup": op3_near_dup,
     "op4_token_counts": op4_token_counts,
     "op5_substring_dedup": op5_substring_dedup,
