@@ -54,23 +54,27 @@ def band_keys(members: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) ->
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest and the keys of both collections."""
+    """doc_id, text_hash, n_shingles, digest and the keys of both collections."""
 
     def job(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingle_set(t, hashes) for t in batch.column(1).to_pylist()]
+            sets = [shingle_set(t, hashes) for t in batch.column(2).to_pylist()]
             keys = [band_keys(s) if len(s) else np.empty((2, 0), np.int64) for s in sets]
             yield {
                 "doc_id": batch.column(0),
+                "text_hash": batch.column(1),
                 "n_shingles": [len(s) for s in sets],
                 "digest": [digest(s) if len(s) else None for s in sets],
                 "first": [k[0] for k in keys],
                 "second": [k[1] for k in keys],
             }
 
-    schema = "doc_id bigint, n_shingles bigint, digest binary, first array<bigint>, second array<bigint>"
-    return by_arrow(docs.select("doc_id", "text"), schema, job)
+    schema = (
+        "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, "
+        "first array<bigint>, second array<bigint>"
+    )
+    return by_arrow(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), schema, job)
 
 
 def _sided(keys: str, side: int) -> Column:
@@ -262,11 +266,13 @@ def _rest_pairs(
     ).select(F.col("a.digest").alias("x"), F.col("b.digest").alias("y")).distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, percent: int = 85, with_text_hash: bool = False
+) -> DataFrame:
     """Components of documents whose shingle sets are at least ``percent`` alike.
 
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable) and
-    kept (it is that document). Words are cut at white space, with A-Z in lower
+    kept (it is that document); with ``with_text_hash`` also xxhash64 of the text. Words are cut at white space, with A-Z in lower
     case; a set holds the distinct runs of five words, or the whole of a shorter
     text. Texts with one set form one class. Classes that share a MinHash table
     are candidates; every link is confirmed on the full sets.
@@ -324,9 +330,28 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     lowest = ids.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = kept(ids.join(lowest, "label").select("digest", "component_id"), "components")
     drop_kept(spark, members, sets, labels.table)
-    out = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    out = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
+        *(["text_hash"] if with_text_hash else []),
+    )
+
+
+def first_of_each_group(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The documents that :func:`near_duplicates` keeps, with all their columns.
+
+    Rows of one doc_id and text stay or go together. A group in which no
+    document has an id keeps all of its documents.
+    """
+    found = near_duplicates(docs, percent, with_text_hash=True).where("kept")
+    names = found.select(
+        F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")
+    ).distinct()
+    return docs.join(
+        names,
+        docs["doc_id"].eqNullSafe(names["kept_id"])
+        & F.xxhash64(docs["text"]).eqNullSafe(names["kept_hash"]),
+        "left_semi",
     )
