@@ -48,7 +48,7 @@ def targets(sizes: Sequence[int], weights: Sequence[float], most: float = 3.0) -
         share = {i: rest * weights[i] / weight for i in sorted(free)}
         above = {i for i in free if share[i] > most * sizes[i]}
         for i in above or free:
-            out[i] = most * sizes[i] if i in above else share[i]
+            out[i] = float(most * sizes[i]) if i in above else share[i]
         free = free - above if above else set()
     return out
 

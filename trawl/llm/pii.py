@@ -331,7 +331,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     """
     detector = train(training_passages(docs.select("doc_id", "text")))
     name = fresh(docs, "clean_text")
-    at = docs.columns.index("text")
+    columns = docs.columns
+    at = columns.index("text")
 
     def clean(text: str) -> str:
         base = base_spans(text)
@@ -347,7 +348,7 @@ def redacted(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column(at).to_pylist()
             yield {
-                **{c: batch.column(i) for i, c in enumerate(docs.columns)},
+                **{c: batch.column(i) for i, c in enumerate(columns)},
                 name: [t and clean(t) for t in texts],
             }
 
@@ -355,5 +356,5 @@ def redacted(docs: DataFrame) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.fields)
     found = by_arrow(docs, schema, job)
     return found.select(*[
-        F.col(f"`{name}`").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns
+        F.col(f"`{name}`").alias("text") if c == "text" else F.col(f"`{c}`") for c in columns
     ])
