@@ -6,7 +6,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -298,18 +298,33 @@ def known_terms(spark, sf_dir):
 
 
 def term_weights(spark, sf_dir):
+    """Exact counts and sums over all pages, per query and word."""
     index = _index(spark, sf_dir, "pages")
-    return scoring.term_weights(index, _titles(spark, sf_dir)).select(
-        "query_id", "url", "word", F.round("weight", 6).alias("weight")
+    weights = scoring.term_weights(index, _titles(spark, sf_dir)).groupBy("query_id", "word")
+    return weights.agg(
+        F.count("*").alias("pages"),
+        _digits(F.sum("weight")).alias("weight_sum"),
+        _digits(F.max("weight")).alias("weight_max"),
     )
 
 
+def _digits(value: Column) -> Column:
+    """Seven significant digits, as text: small scores show like large ones."""
+    return F.when(value.isNotNull(), F.format_string("%.6e", value))
+
+
 def _scores(hits: DataFrame) -> DataFrame:
-    return hits.select("query_id", "url", F.round("score", 6).alias("score"))
+    return hits.select("query_id", "url", _digits(F.col("score")).alias("score"))
 
 
 def search_any_term(spark, sf_dir):
-    return _scores(scoring.scores(_index(spark, sf_dir, "documents"), _passages(spark, sf_dir)))
+    """Exact counts and sums over all hits of each query."""
+    hits = scoring.scores(_index(spark, sf_dir, "documents"), _passages(spark, sf_dir))
+    return hits.groupBy("query_id").agg(
+        F.count("*").alias("hits"),
+        _digits(F.sum("score")).alias("score_sum"),
+        _digits(F.max("score")).alias("score_max"),
+    )
 
 
 def search_phrase(spark, sf_dir):
@@ -322,7 +337,7 @@ def search_multi_phrase(spark, sf_dir):
 
 def search_topk(spark, sf_dir):
     top = scoring.top_results(_index(spark, sf_dir, "documents"), _passages(spark, sf_dir))
-    return top.select("query_id", "position", "url", F.round("score", 6).alias("score"))
+    return top.select("query_id", "position", "url", _digits(F.col("score")).alias("score"))
 
 
 def search_stats(spark, sf_dir):
@@ -351,8 +366,8 @@ def _flat(results: DataFrame) -> DataFrame:
         F.map_entries("keywords"), lambda e: F.concat_ws(":", e["key"], e["value"])
     )
     return results.select(
-        "query_id", "position", "url", F.round("rank", 6).alias("rank"), "title", "modified",
-        "size", F.array_join(entries, " ").alias("keywords"),
+        "query_id", "position", "part", "url", _digits(F.col("rank")).alias("rank"), "title",
+        "modified", "size", F.array_join(entries, " ").alias("keywords"),
         F.array_join("parents", " ").alias("parents"),
         F.array_join(F.array_sort("children"), " ").alias("children"),
     )
@@ -363,21 +378,19 @@ def search_results(spark, sf_dir):
 
 
 RESULT = (
-    "total_results string, url string, rank double, title string, modified string, size int, "
+    "error string, total_results string, url string, rank double, title string, modified string, size int, "
     "keywords map<string, int>, parents array<string>, children array<string>"
 )
 
 
 def search_json_lines(spark, sf_dir):
-    """The JSON lines, read back into columns."""
+    """The JSON lines, those with counts or errors too, read back into columns."""
     lines = search_json(_index(spark, sf_dir, "pages"), _titles(spark, sf_dir))
     fields = F.from_json(F.get_json_object("json", "$.result"), RESULT)
-    rows = lines.select("query_id", "position", fields.alias("r")).select(
-        "query_id", "position", "r.*"
-    )
-    return _flat(rows.where("position > 0")).join(
-        rows.select("query_id", "position", "total_results"), ["query_id", "position"]
-    )
+    keys = ("query_id", "position", "part")
+    rows = lines.select(*keys, fields.alias("r")).select(*keys, "r.*")
+    heads = rows.select(*keys, "error", "total_results")
+    return _flat(rows).join(heads, list(keys))
 
 
 def parents_children(spark, sf_dir):
@@ -420,6 +433,19 @@ def crawl_order(spark, sf_dir):
     return order.select("url", "depth", "parent_url", "link_position")
 
 
+def graph_parents(spark, sf_dir):
+    """Parent lists over the whole graph of orders and parts, summed up per page."""
+    links, pages = _order_graph(spark, sf_dir)
+    edges = links.select("parent_url", "child_url").distinct()
+    index = Index(pages, None, None, edges, None)
+    parts = linkgraph.parent_lists(index, pages, per_part=8)
+    return parts.groupBy("url").agg(
+        F.sum(F.size("parents")).alias("n_parents"),
+        F.min(F.array_min("parents")).alias("first_parent"),
+        F.max(F.array_max("parents")).alias("last_parent"),
+    )
+
+
 # -- incremental maintenance --
 
 
@@ -463,12 +489,13 @@ def incremental_links(spark, sf_dir):
 
 
 def streaming_index(spark, sf_dir):
-    """The page table read as a stream of files into an empty store."""
+    """Page files, then files of pages fetched again, as a stream of micro-batches."""
+    source = new_folder(spark, "stream-pages")
+    _table(spark, sf_dir, "pages").select("url", "html").repartition(3).write.parquet(source)
+    _recrawl(spark, sf_dir).select("url", "html").repartition(2).write.mode("append").parquet(source)
     store = IndexStore(spark, new_folder(spark, "stream-index"))
-    stream = index_stream(
-        spark, sf_dir, store, new_folder(spark, "stream-checkpoint"), path_filter="pages.parquet"
-    )
-    stream.awaitTermination()
+    checkpoint = new_folder(spark, "stream-checkpoint")
+    index_stream(spark, source, store, checkpoint, files_per_batch=2).awaitTermination()
     return _posting_rows(store.load())
 
 
@@ -509,6 +536,7 @@ _QUERIES = {
     "index_report": report,
     "crawl_frontier": crawl_frontier,
     "crawl_order": crawl_order,
+    "graph_parents": graph_parents,
     "latest_pages": newest_pages,
     "incremental_index": incremental_index,
     "incremental_links": incremental_links,

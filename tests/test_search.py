@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from trawl import parse_queries, search, search_json
 from trawl.operators.matching import known_phrase_words, known_terms
-from trawl.operators.scoring import all_results, hit_counts, top_results
+from trawl.operators.scoring import all_results, hit_counts, significant, top_results
 
 SEARCHES = {
     "tart shop": [("c.html", 166.666667), ("a", 142.880952)],
@@ -127,3 +127,10 @@ def test_plans_have_no_nested_loops_or_python(index, parsed):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
         assert "Python" not in plan
     assert top._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 2
+
+
+def test_small_scores_are_ranked_by_their_digits(spark):
+    values = [2.6e-10, 1.3e-10, 1.3000000001e-10, 0.0, 9.9999999999e-5, 1e-4]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, score double")
+    order = [r.i for r in rows.orderBy(significant(F.col("score")).desc(), "i").collect()]
+    assert order == [4, 5, 0, 1, 2, 3]

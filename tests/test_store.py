@@ -1,10 +1,14 @@
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import PAGES, link, page
 from trawl import IndexStore, analyse, html_pages, index_batch, index_of, index_report, index_stream
 from trawl import latest_pages, page_fields, read_stopwords
-from trawl.session import new_folder
+from trawl.sources.pages import one_per_url
+from trawl.session import new_folder, scratch, shared_dir, written
 
 SEEN = '<p class="right">Last updated on 2015-03-07</p>'
 CHANGED = [
@@ -128,3 +132,97 @@ def test_read_stopwords(spark, tmp_path):
     path = tmp_path / "stop.txt"
     path.write_text("# note\nthe\n of \nthe\n")
     assert read_stopwords(spark, str(path)) == {"the", "of"}
+
+
+def page_rows(spark, *rows):
+    return spark.createDataFrame([(u, page(u, b)) for u, b in rows], "url string, html string")
+
+
+def test_every_writer_keeps_its_own_epochs(spark, tmp_path):
+    store = IndexStore(spark, new_folder(spark, "store"), buckets=2)
+    index_batch(store, page_rows(spark, ("http://h.test/a", "one")), 0)
+    for name in ("b", "c"):
+        source = str(tmp_path / name)
+        page_rows(spark, (f"http://h.test/{name}", "two")).write.parquet(source)
+        for checkpoint in (new_folder(spark, "checkpoint"),) * 2:
+            index_stream(spark, source, store, checkpoint).awaitTermination()
+    assert {r.url[-1] for r in store.load().documents.collect()} == {"a", "b", "c"}
+    assert len(store.batches()) == 3
+    # the same files under a new checkpoint come again and replace themselves
+    index_stream(spark, source, store, new_folder(spark, "checkpoint")).awaitTermination()
+    assert len(store.batches()) == 4 and store.load().corpus.first()[0] == 3
+
+
+def test_a_lower_epoch_that_comes_later_replaces(spark):
+    store = IndexStore(spark, new_folder(spark, "store"), buckets=2)
+    index_batch(store, page_rows(spark, ("http://h.test/a", "apple")), 5)
+    index_batch(store, page_rows(spark, ("http://h.test/a", "plum")), 3)
+    index = store.load()
+    assert index.corpus.first()[0] == 1 and index.documents.count() == 1
+    assert "plum" in {r.word for r in index.keywords.collect()}
+
+
+def test_buckets_belong_to_the_store(spark):
+    root = new_folder(spark, "store")
+    index_batch(IndexStore(spark, root, buckets=4), page_rows(spark, ("http://h.test/a", "one")), 0)
+    assert IndexStore(spark, root).buckets == 4
+    with pytest.raises(ValueError):
+        IndexStore(spark, root, buckets=8)
+
+
+def test_the_later_file_wins_whatever_the_micro_batch(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for body in ("zebra", "apple"):
+        rows = page_rows(spark, ("http://h.test/a", body)).coalesce(1)
+        rows.write.mode("append").parquet(source)
+        time.sleep(0.05)
+    for files in (1, 1000):
+        store = IndexStore(spark, new_folder(spark, "store"), buckets=2)
+        stream = index_stream(
+            spark, source, store, new_folder(spark, "checkpoint"), files_per_batch=files
+        )
+        stream.awaitTermination()
+        words = {r.word for r in store.load().keywords.collect()}
+        assert "appl" in words and "zebra" not in words
+
+
+def test_repeated_urls_need_a_version(spark):
+    rows = spark.createDataFrame(
+        [("u", "old", 1), ("u", "new", 2), ("v", "x", 1)], "url string, html string, version int"
+    )
+    store = IndexStore(spark, new_folder(spark, "store"), buckets=2)
+    with pytest.raises(ValueError):
+        index_batch(store, rows, 0)
+    index_batch(store, rows, 0, version="version")
+    assert store.load().documents.count() == 2
+
+
+def test_html_of_unique_urls_is_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    page_rows(spark, ("http://h.test/a", "one"), ("http://h.test/b", "two")).write.parquet(path)
+    pages = spark.read.parquet(path)
+    plan = one_per_url(pages, F.desc("html"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_staging_and_scratch_leave_nothing(spark, pages, changed):
+    store = IndexStore(spark, new_folder(spark, "store"), buckets=2)
+    index_batch(store, pages, 0)
+    index_batch(store, changed, 1)
+    assert not os.listdir(os.path.join(store.root, "staging"))
+    before = set(os.listdir(shared_dir(spark)))
+    with scratch(spark):
+        assert written(changed, "some").count() == 2
+        assert set(os.listdir(shared_dir(spark))) > before
+    assert set(os.listdir(shared_dir(spark))) == before
+
+
+def test_size_header_and_text_after_the_body(spark):
+    rows = [
+        ("http://h.test/a", "<body>inside</body>after</html>", "2147483648"),
+        ("http://h.test/b", "<body>b</body>", "12x"),
+    ]
+    table = spark.createDataFrame(rows, "url string, html string, size string")
+    found = {r.url[-1]: r for r in page_fields(html_pages(table)).collect()}
+    assert found["a"].document_chars == 2147483648 and found["b"].document_chars == 14
+    assert found["a"].body_text.split() == ["inside", "after"]

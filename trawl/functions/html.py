@@ -16,7 +16,6 @@ from trawl.functions.expr import let
 # a script, or a script tag inside a comment, then belongs to what opened first.
 HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script\s*>|\z))"
 BODY_OPEN = r"(?i)<body\b[^>]*>"
-BODY_CLOSE = r"(?i)</body\s*>"
 HEAD_CLOSE = r"(?i)</head\s*>"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 # A tag; quoted attribute values may hold ">". The second form takes tags whose
@@ -41,8 +40,9 @@ UPDATED_ON = r"Last updated on (\d{4}-\d{2}-\d{2})"
 def regions(html: Column) -> Column:
     """``(page, head, body)`` of a page whose comments and scripts are cut.
 
-    The body runs from its opening tag to its closing tag or the end; without a
-    body tag it is what follows the head, or the whole fragment less its title.
+    The body runs from its opening tag to the end, as a browser adds what follows
+    the closing tag to it; without a body tag it is what follows the head, or the
+    whole fragment less its title.
     """
 
     def around_body(page):
@@ -55,7 +55,7 @@ def regions(html: Column) -> Column:
             return F.struct(
                 page.alias("page"),
                 F.get(at_body, F.lit(0)).alias("head"),
-                F.get(F.split(body, BODY_CLOSE, 2), F.lit(0)).alias("body"),
+                body.alias("body"),
             )
 
         return let(F.split(page, BODY_OPEN, 2), parts)

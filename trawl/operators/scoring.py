@@ -11,8 +11,8 @@ from trawl.plans.index import Index
 from trawl.session import written
 
 TITLE_BOOST = 1000
-# Scores that agree to this many digits tie: the order of a floating-point sum
-# must not decide a ranking.
+# Scores that agree to this many significant digits tie: the order of a
+# floating-point sum must not decide a ranking.
 SCORE_DIGITS = 9
 
 
@@ -67,8 +67,20 @@ def scores(index: Index, parsed: DataFrame) -> DataFrame:
     )
 
 
+def significant(value: Column, digits: int = SCORE_DIGITS) -> Column:
+    """``value``, 0 or more, by exponent and rounded digits: comparable at any size."""
+    power = F.floor(F.log10(value)).cast("int")
+    lead = F.round(value / F.pow(F.lit(10.0), power), digits - 1)
+    # 9.99... rounds up to the next power of ten
+    over = lead >= 10
+    return F.when(value > 0, F.struct(
+        F.when(over, power + 1).otherwise(power).alias("power"),
+        F.when(over, lead / 10).otherwise(lead).alias("lead"),
+    )).otherwise(F.struct(F.lit(-400).alias("power"), F.lit(0.0).alias("lead")))
+
+
 def _by_score() -> Column:
-    return F.round("score", SCORE_DIGITS).desc()
+    return significant(F.col("score")).desc()
 
 
 def rank_order() -> list[Column]:
@@ -113,11 +125,11 @@ def top_results(
         .withColumn("_n", F.row_number().over(per_query.orderBy(_by_score())))
         .where(F.col("_n") <= k)
         .groupBy("query_id")
-        .agg(F.min(F.round("score", SCORE_DIGITS)).alias("_least"))
+        .agg(F.min(significant(F.col("score"))).alias("_least"))
     )
     contenders = (
         hits.join(written(thresholds, "thresholds"), "query_id")
-        .where(F.round("score", SCORE_DIGITS) >= F.col("_least"))
+        .where(significant(F.col("score")) >= F.col("_least"))
         .drop("_least")
     )
     return (

@@ -15,14 +15,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import dates, html, urls, words
-from trawl.session import spread
+from trawl.session import dealt
 from trawl.sources.stopwords import default_stopwords
 
-def page_fields(pages: DataFrame) -> DataFrame:
-    """Parse html: texts, title, date, byte size, resolved links."""
-    size = F.try_to_number("size", F.lit("999999999")).cast("int")
+
+def page_fields(pages: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Parse html: texts, title, date, byte size, resolved links.
+
+    ``partitions`` deals a small input over more tasks than its files make. A
+    size header that is no number of up to 18 digits gives way to the size of
+    the html.
+    """
+    size = F.when(F.rlike(F.trim("size"), F.lit(r"^[0-9]{1,18}\z")), F.trim("size").cast("bigint"))
     return (
-        spread(pages)
+        dealt(pages, partitions)
         .withColumn("_parts", html.regions(F.col("html")))
         .withColumn("title_text", html.text_of(html.title_markup(F.col("_parts.head"))))
         .withColumn("body_text", html.text_of(F.col("_parts.body")))
@@ -33,7 +39,7 @@ def page_fields(pages: DataFrame) -> DataFrame:
             dates.modified(
                 html.updated_on(F.col("_parts.page")), F.col("last_modified"), F.col("date")
             ).alias("modified"),
-            F.coalesce(size, F.octet_length("html")).alias("document_chars"),
+            F.coalesce(size, F.octet_length("html").cast("bigint")).alias("document_chars"),
             F.array_distinct(
                 urls.resolve_all(F.col("url"), html.hrefs(F.col("_parts.page")))
             ).alias("children"),
@@ -41,14 +47,16 @@ def page_fields(pages: DataFrame) -> DataFrame:
     )
 
 
-def plain_fields(texts: DataFrame, url: Column, text: Column) -> DataFrame:
+def plain_fields(
+    texts: DataFrame, url: Column, text: Column, partitions: int | None = None
+) -> DataFrame:
     """The same fields for plain texts: no title, date or links."""
-    return spread(texts.where(text.isNotNull())).select(
+    return dealt(texts.where(text.isNotNull()), partitions).select(
         url.alias("url"),
         F.lit("").alias("title_text"),
         text.alias("body_text"),
         F.lit(None).cast("timestamp_ntz").alias("modified"),
-        F.octet_length(text).alias("document_chars"),
+        F.octet_length(text).cast("bigint").alias("document_chars"),
         F.array().cast("array<string>").alias("children"),
     )
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +33,31 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables of :func:`written` when the block ends.
+
+    Results must be stored or collected inside the block, as they read them.
+    """
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            remove_folder(spark, path)
+
+
 def written(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` as a table in the shared folder.
 
@@ -37,19 +65,12 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     the loss of executors, and its true size decides whether it is broadcast.
     """
     path = new_folder(rows.sparkSession, name)
+    if (paths := _scratch.get()) is not None:
+        paths.append(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal an input over all cores if its scan would leave some idle.
-
-    A scan makes a task per ``maxPartitionBytes``, or per row group if those are
-    larger, too few for the CPU-heavy analysis of a small table. Larger inputs
-    fill the cluster by themselves and are returned as they are, unshuffled.
-    """
-    spark = rows.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return rows.repartition(cores) if size < cores * split else rows
+def dealt(rows: DataFrame, partitions: int | None) -> DataFrame:
+    """``rows`` over so many tasks; as they lie if ``partitions`` is None."""
+    return rows if partitions is None else rows.repartition(partitions)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trawl.session import written
+
 HEADER_COLUMNS = ("last_modified", "date", "size")
 
 
@@ -23,6 +25,26 @@ def html_pages(table: DataFrame) -> DataFrame:
     )
 
 
+def one_per_url(table: DataFrame, *newest_first) -> DataFrame:
+    """One row per url, the first in the given order; html of unique urls stays put.
+
+    The urls that occur more than once are found on the url column alone. Only
+    their rows are compared; as a rule they are few, and Spark sends the list of
+    them to the rows. Without an order, a repeated url is an error: no row of a
+    table is the later one by itself.
+    """
+    repeated = written(
+        table.groupBy("url").agg(F.count("*").alias("n")).where("n > 1").select("url"), "repeated"
+    )
+    some = repeated.take(3)
+    if not some:
+        return table
+    if not newest_first:
+        raise ValueError(f"urls occur more than once, give their version: {[r.url for r in some]}")
+    compared = latest_pages(table.join(repeated, "url", "left_semi"), *newest_first)
+    return table.join(repeated, "url", "left_anti").unionByName(compared)
+
+
 def latest_pages(table: DataFrame, *newest_first) -> DataFrame:
     """One row per url: the first in the given order.
 

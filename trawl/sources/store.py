@@ -8,9 +8,13 @@ Layout below the root::
     links/batch=N/child_bucket=B     edges by target
     superseded/batch=N            pages of earlier batches that batch N replaces
     batches/batch=N               written last: the batch counts from here on
+    settings                      number of buckets, written once
 
-A batch only writes its own partitions, so its cost follows its own size and a
-repeated batch overwrites what the failed attempt left. Readers drop superseded
+The store numbers its batches itself, in the order they are committed. What a
+writer calls a batch is a source and an epoch of that source; both are kept with
+it, so the same one is never indexed twice and different writers never meet. One
+writer at a time may append. A batch only writes its own partitions, and the
+next one overwrites what a failed attempt left. Readers drop superseded
 pages. ``Index`` objects read from a store see the batches committed so far.
 """
 
@@ -22,10 +26,11 @@ from pyspark.sql import functions as F
 
 from trawl.functions.expr import bucket
 from trawl.plans.index import Index, links_of, postings_of
+from trawl.session import remove_folder
 
 DOCUMENTS = (
     "url string, title string, document_size int, modified timestamp_ntz, "
-    "fetched timestamp, max_tf int, document_chars int, "
+    "fetched timestamp, max_tf int, document_chars bigint, "
     "terms array<struct<word: string, term_frequency: int, in_title: boolean, "
     "positions: array<int>>>, children array<string>, batch bigint"
 )
@@ -38,16 +43,25 @@ LINKS = (
     "parent_url string, link_position int, child_url string, batch bigint, child_bucket int"
 )
 SUPERSEDED = "url string, superseded_batch bigint, batch bigint"
-BATCHES = "documents bigint, replaced bigint, batch bigint"
+BATCHES = "source string, epoch bigint, documents bigint, replaced bigint, batch bigint"
+SETTINGS = "buckets int"
+BUCKETS = 16
 
 
 class IndexStore:
-    """``buckets`` is fixed for the life of a store: aim at about 1 GB of postings each."""
+    """``buckets`` is fixed for the life of a store: aim at about 1 GB of postings each.
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+    A store that exists knows its number; another one is an error.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
+        stored = self._small("settings", SETTINGS)
+        if stored and buckets not in (None, stored[0].buckets):
+            raise ValueError(f"the store has {stored[0].buckets} buckets, not {buckets}")
+        self.buckets = stored[0].buckets if stored else buckets or BUCKETS
+        self._has_settings = bool(stored)
 
     # -- reading ---------------------------------------------------------
 
@@ -59,16 +73,19 @@ class IndexStore:
         paths = [f"{base}/batch={n}" for n in batches]
         return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
-    def batches(self) -> list:
-        """Committed batches, oldest first: one small row each."""
-        reader = self.spark.read.schema(BATCHES)
+    def _small(self, table: str, schema: str) -> list:
+        """All rows of a small table; none if it was never written."""
         try:
-            return reader.parquet(f"{self.root}/batches").orderBy("batch").collect()
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}").collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
 
+    def batches(self) -> list:
+        """Committed batches, oldest first: one small row each."""
+        return sorted(self._small("batches", BATCHES), key=lambda row: row.batch)
+
     def _live(self, table: DataFrame, rows: list, url: str = "url") -> DataFrame:
         """Drop rows of pages that a later batch replaced."""
         replacing = [row.batch for row in rows if row.replaced]
@@ -129,18 +146,23 @@ class IndexStore:
             .parquet(f"{self.root}/{table}/batch={batch}")
         )
 
-    def append(self, analysed: DataFrame, batch: int) -> None:
+    def append(self, analysed: DataFrame, epoch: int, source: str = "batch") -> None:
         """Index a batch of pages, one row per url; replaces pages already known.
 
         ``modified`` is kept from the known page when the new one has none, and
-        ``fetched`` is the time the url was first indexed. A batch that is
-        already committed is left as it is. Rows of another store's ``forward``
+        ``fetched`` is the time the url was first indexed. An ``epoch`` of a
+        ``source`` that is already committed is left as it is; any other one
+        comes after all that the store holds, whatever its number. Rows of another store's ``forward``
         are accepted too: as one batch of a new store they make a compact copy.
         """
-        rows = self.batches()
-        if batch in {row.batch for row in rows}:
+        known = self.batches()
+        if (source, epoch) in {(row.source, row.epoch) for row in known}:
             return
-        known = [row for row in rows if row.batch < batch]
+        if not self._has_settings:
+            settings = self.spark.createDataFrame([(self.buckets,)], SETTINGS)
+            settings.write.mode("overwrite").parquet(f"{self.root}/settings")
+            self._has_settings = True
+        batch = known[-1].batch + 1 if known else 0
         now = F.current_timestamp()
         first_seen = F.coalesce("fetched", now) if "fetched" in analysed.columns else now
         fresh = analysed.drop("batch").withColumn("fetched", first_seen)
@@ -175,9 +197,12 @@ class IndexStore:
         )
         self._write_bucketed(frequency, "keywords", batch, "word", "word_bucket", "word")
         summary = forward.agg(
+            F.lit(source).alias("source"), F.lit(epoch).cast("bigint").alias("epoch"),
             F.count("*").alias("documents"), F.lit(replaced).cast("bigint").alias("replaced")
         )
         self._write(summary, "batches", batch)
+        if known:
+            remove_folder(self.spark, f"{self.root}/staging/batch={batch}")
 
     def _supersede(self, fresh: DataFrame, known: list, batch: int) -> int:
         """Record which live pages the batch replaces; return how many."""

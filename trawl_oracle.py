@@ -6,12 +6,31 @@ a stemmer that measures stems by counting vowel runs instead of by pattern.
 
 from __future__ import annotations
 
-from trawl import default_stopwords
-from trawl.functions.porter import STEP_2, STEP_3, STEP_4
+from pathlib import Path
+
+# The list of stopwords, and the suffixes of Porter's steps 2 to 4.
+_LIST = Path(__file__).resolve().parent / "trawl/data/stopwords.txt"
+STOPWORDS = {
+    word for line in _LIST.read_text().splitlines() if not line.startswith("#")
+    for word in line.split()
+}
+STEP_2 = [
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
+    ("abli", "able"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
+    ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
+    ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
+]
+STEP_3 = [
+    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
+    ("ful", ""), ("ness", ""),
+]
+STEP_4 = (
+    "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
+).split()
 
 NL = "chr(10)"
 TOKEN = "[A-Za-z0-9][A-Za-z0-9_-]*"
-STOP = ", ".join(f"('{word}')" for word in sorted(default_stopwords()))
+STOP = ", ".join(f"('{word}')" for word in sorted(STOPWORDS))
 
 
 def _with(*ctes: str) -> str:
@@ -96,7 +115,7 @@ _MARKUP = f"""clean AS (SELECT url, html, regexp_replace(html,
 
 _TEXTS = f"""parts AS (SELECT url, html, h,
     regexp_extract(h, '(?is)^(.*?)<body', 1) AS head,
-    regexp_replace(regexp_extract(h, '(?is)<body[^>]*>(.*)$', 1), '(?is)</body\\s*>.*$', '') AS body
+    regexp_extract(h, '(?is)<body[^>]*>(.*)$', 1) AS body
   FROM clean),
 texts AS MATERIALIZED (SELECT url, html, h,
     regexp_replace(regexp_replace(regexp_extract(head, '(?is)<title[^>]*>(.*?)</title>', 1),
@@ -130,7 +149,7 @@ docs AS MATERIALIZED (SELECT x.url,
     array_to_string(regexp_extract_all(title_text, '[\\[A-Za-z0-9][A-Za-z0-9_-]*'), ' ') AS title,
     (len(tt) + len(bt))::INT AS document_size,
     greatest(1, coalesce(m.mx, 1))::INT AS max_tf,
-    octet_length(encode(html))::INT AS document_chars
+    octet_length(encode(html))::BIGINT AS document_chars
   FROM texts x JOIN token_lists l USING (url)
   LEFT JOIN (SELECT url, max(tf) AS mx FROM postings GROUP BY url) m ON m.url = x.url)"""
 
@@ -214,7 +233,7 @@ scores AS MATERIALIZED (SELECT query_id, url, sum(weight) / (document_size * n_k
   WHERE query_id NOT IN (SELECT query_id FROM needed)
      OR (query_id, url) IN (SELECT (query_id, url) FROM holding)
   GROUP BY query_id, url, document_size, n_known),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY printf('%.8e', score)::DOUBLE DESC,
     title DESC, document_size DESC, url) AS position
   FROM scores JOIN docs USING (url)),
 top AS MATERIALIZED (SELECT * FROM ranked WHERE position <= 50),
@@ -225,7 +244,7 @@ stats AS (SELECT query_id, coalesce(total, 0) AS total, CASE WHEN total > 50
 matched AS (SELECT query_id, url, string_agg(word || ':' || tf, ' ' ORDER BY word) AS keywords
   FROM weights JOIN top USING (query_id, url) GROUP BY query_id, url)"""
 
-_FLAT = """flat AS (SELECT t.query_id, t.position::INT AS position, t.url, round(t.score, 6) AS rank,
+_FLAT = """flat AS (SELECT t.query_id, t.position::INT AS position, 0 AS part, t.url, printf('%.6e', t.score) AS rank,
     t.title, NULL::VARCHAR AS modified, t.document_size AS size, m.keywords,
     coalesce((SELECT string_agg(parent_url, ' ' ORDER BY parent_url) FROM edges
       WHERE child_url = t.url), '') AS parents,
@@ -271,7 +290,10 @@ v{n} AS MATERIALIZED (SELECT * FROM v{n - 1} UNION ALL
     SELECT url, po, lp, parent,
       row_number() OVER (PARTITION BY url ORDER BY po, lp) AS rn FROM c{n}) WHERE rn = 1)"""
         )
-    return _with(*ctes) + f"SELECT url, depth, parent_url, link_position FROM v{levels}"
+    return _with(*ctes) + (
+        f"SELECT url, depth, parent_url, link_position FROM v{levels} WHERE CASE WHEN "
+        f"depth < {levels} THEN true ELSE error('the graph is deeper than this check') END"
+    )
 
 
 def oracle_sql() -> dict[str, str]:
@@ -285,7 +307,7 @@ def oracle_sql() -> dict[str, str]:
     )
     details = (_HREFS, _FLAT)
     flat_columns = (
-        "query_id, position, url, rank, title, modified, size, keywords, parents, children"
+        "query_id, position, part, url, rank, title, modified, size, keywords, parents, children"
     )
     return {
         "page_text": texts_only + "SELECT url, trim(regexp_replace(title_text || ' ' || body_text, "
@@ -336,20 +358,24 @@ def oracle_sql() -> dict[str, str]:
             True, _PASSAGES, "SELECT query_id, word, df AS document_frequency, n_known FROM known"
         ),
         "term_weights": _search(
-            False, _TITLES, "SELECT query_id, url, word, round(weight, 6) AS weight FROM weights"
+            False, _TITLES, "SELECT query_id, word, count(*) AS pages, "
+            "printf('%.6e', sum(weight)) AS weight_sum, "
+            "printf('%.6e', max(weight)) AS weight_max FROM weights GROUP BY ALL"
         ),
         "search_any_term": _search(
-            True, _PASSAGES, "SELECT query_id, url, round(score, 6) AS score FROM scores"
+            True, _PASSAGES, "SELECT query_id, count(*) AS hits, "
+            "printf('%.6e', sum(score)) AS score_sum, printf('%.6e', max(score)) AS score_max "
+            "FROM scores GROUP BY query_id"
         ),
         "search_phrase": _search(
-            True, _SENTENCES, "SELECT query_id, url, round(score, 6) AS score FROM scores"
+            True, _SENTENCES, "SELECT query_id, url, printf('%.6e', score) AS score FROM scores"
         ),
         "search_multi_phrase": _search(
-            False, _TITLE_PAIRS, "SELECT query_id, url, round(score, 6) AS score FROM scores"
+            False, _TITLE_PAIRS, "SELECT query_id, url, printf('%.6e', score) AS score FROM scores"
         ),
         "search_topk": _search(
             True, _PASSAGES,
-            "SELECT query_id, position::INT AS position, url, round(score, 6) AS score FROM top",
+            "SELECT query_id, position::INT AS position, url, printf('%.6e', score) AS score FROM top",
         ),
         "search_stats": _search(
             True, _PASSAGES, "SELECT query_id, total, total_results FROM stats"
@@ -362,7 +388,11 @@ def oracle_sql() -> dict[str, str]:
         "search_results": _search(False, _TITLES, f"SELECT {flat_columns} FROM flat", *details),
         "search_json": _search(
             False, _TITLES,
-            f"SELECT {flat_columns}, total_results FROM flat JOIN stats USING (query_id)",
+            f"SELECT {flat_columns}, NULL::VARCHAR AS error, total_results "
+            "FROM flat JOIN stats USING (query_id) UNION ALL SELECT query_id, 0, 0, "
+            "NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN total = 0 THEN "
+            "'No results found for: ' || coalesce(query, '') END, "
+            "CASE WHEN total > 0 THEN total_results END FROM stats JOIN queries USING (query_id)",
             *details,
         ),
         "index_report": _with(*_corpus(plain=False), _HREFS)
@@ -382,5 +412,7 @@ def oracle_sql() -> dict[str, str]:
         "incremental_index": recrawled + rows,
         "incremental_links": _with(_RECRAWLED, _MARKUP, _HREFS)
         + "SELECT parent_url, child_url FROM edges",
-        "streaming_index": pages + rows,
+        "streaming_index": recrawled + rows,
+        "graph_parents": _with(_CRAWL) + "SELECT child AS url, count(*)::BIGINT AS n_parents, "
+        "min(parent) AS first_parent, max(parent) AS last_parent FROM edge GROUP BY child",
     }
