@@ -84,6 +84,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_near_dup": r"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM word WHERE len(w) > 0)),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (
+  SELECT x, y FROM shared JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y
+  WHERE 100 * shared.n >= 85 * (a.n + b.n - shared.n)),
+reach AS (
+  SELECT x AS doc_id, x AS other FROM link
+  UNION SELECT reach.doc_id, link.y FROM reach JOIN link ON link.x = reach.other),
+lowest AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles,
+       coalesce(lowest.component_id, d.doc_id) AS component_id,
+       coalesce(lowest.component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN lowest USING (doc_id)
+""",
     "op8_line_dedup": r"""
 WITH line AS (
   SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
