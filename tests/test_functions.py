@@ -179,3 +179,23 @@ def test_modified(spark, page, last_modified, date, shown):
         text if date is None else F.lit(date),
     )
     assert value(spark, dates.display_date(modified)) == shown
+
+
+@pytest.mark.parametrize(
+    "base, href, joined",
+    [
+        ("a/b", "c", "a/c"),
+        ("/order/1", "/x", "/x"),
+        ("/order/1", "2?q", "/order/2?q"),
+        ("a", "", "a"),
+        ("//h.test/a", "b", "//h.test/b"),
+        ("http://h.test", "../..", "http://h.test"),
+        ("http://h.test", "..", "http://h.test/.."),
+        ("http://h.test/", "..", "http://h.test/"),
+        ("http://h.test/a/b", "..", "http://h.test/"),
+        ("http://h.test/a/b/c", "..", "http://h.test/a/"),
+        ("http://h.test/a", "../..", "http://h.test/"),
+    ],
+)
+def test_addresses_without_scheme_and_bare_hosts(spark, base, href, joined):
+    assert value(spark, urls.resolve_all(F.lit(base), F.array(F.lit(href)))) == [joined]

@@ -38,11 +38,13 @@ _PUSH = """CASE
     WHEN segment = '..' AND coalesce(try_element_at(done, -1), '') NOT IN ('', '..')
         THEN slice(done, 1, size(done) - 1)
     ELSE concat(done, array(segment)) END"""
-# The last segment: "." leaves a folder, ".." its parent folder, never above the root.
+# The last segment: "." leaves a folder, ".." its parent folder; from the root it
+# leaves the root, and from a lone segment nothing.
 _CLOSE = """CASE
     WHEN last = '.' THEN concat(done, array(''))
     WHEN last = '..' AND size(done) > 1 THEN concat(slice(done, 1, size(done) - 1), array(''))
-    WHEN last = '..' AND size(done) = 1 THEN concat(done, array(''))
+    WHEN last = '..' AND size(done) = 1 AND done[0] = '' THEN array('', '')
+    WHEN last = '..' AND size(done) = 1 THEN array('')
     ELSE concat(done, array(last)) END"""
 _INNER = (
     "aggregate(slice(segments, 1, size(segments) - 1), cast(array() as array<string>), "
@@ -63,9 +65,15 @@ _PATH = f"""CASE
     WHEN h.path = '' THEN b.path
     ELSE {_fold_dots("concat(regexp_extract(b.path, r'(?s)^(.*/)[^/]*$', 1), h.path)")} END"""
 _QUERY = "if(h.authority <> '' OR h.path <> '' OR h.query <> '', h.query, b.query)"
+# An address without scheme and authority, such as a path, stays without them.
+_PLACED = let_sql(
+    _PATH, "p",
+    "CASE WHEN b.scheme = '' AND a = '' THEN p ELSE concat("
+    "if(b.scheme = '', '', concat(b.scheme, ':')), '//', a, "
+    "if(p = '' OR startswith(p, '/'), p, concat('/', p))) END",
+)
 _JOINED = f"""concat(
-    b.scheme, '://', if(h.authority <> '', h.authority, b.authority),
-    {let_sql(_PATH, "p", "if(p = '' OR startswith(p, '/'), p, concat('/', p))")},
+    {let_sql("if(h.authority <> '', h.authority, b.authority)", "a", _PLACED)},
     {let_sql(_QUERY, "q", "if(q <> '', concat('?', q), '')")},
     if(h.fragment <> '', concat('#', h.fragment), ''))"""
 _CHOSEN = f"""CASE
