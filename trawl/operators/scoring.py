@@ -16,17 +16,12 @@ TITLE_BOOST = 1000
 SCORE_DIGITS = 9
 
 
-def term_weights(index: Index, parsed: DataFrame) -> DataFrame:
-    """Weight of every known query word on every page that holds it.
-
-    The known words are written first: their true size tells Spark whether to
-    send them to the postings, which then never move before they are weighed.
-    """
-    known = written(known_terms(index, parsed), "terms")
+def _weighed(index: Index, entries: DataFrame) -> DataFrame:
+    """Query words at their postings, with the weight of each."""
     n_documents = index.corpus.scalar()
     idf = F.log2(n_documents / F.col("document_frequency"))
     boost = F.when(F.col("in_title"), TITLE_BOOST).otherwise(1)
-    return postings_for(index, known).select(
+    return entries.select(
         "query_id",
         "url",
         "word",
@@ -38,32 +33,51 @@ def term_weights(index: Index, parsed: DataFrame) -> DataFrame:
     )
 
 
+def term_weights(index: Index, parsed: DataFrame) -> DataFrame:
+    """Weight of every known query word on every page that holds it.
+
+    The known words are written first: their true size tells Spark whether to
+    send them to the postings, which then never move before they are weighed.
+    """
+    return _weighed(index, postings_for(index, written(known_terms(index, parsed), "terms")))
+
+
+def _weights_on(index: Index, known: DataFrame, pages: DataFrame) -> DataFrame:
+    """Weights of the known words of queries on the given ``query_id, url`` only.
+
+    The postings are joined by word and page: a frequent word costs no more than
+    the pages asked for.
+    """
+    wanted = written(known.join(pages, "query_id"), "wanted")
+    keys = [name for name in ("word_bucket", "word") if name in wanted.columns]
+    return _weighed(index, index.postings.join(wanted.where(F.length("word") > 0), [*keys, "url"]))
+
+
 def scores(index: Index, parsed: DataFrame) -> DataFrame:
     """``query_id, url, score`` of all matching pages, phrases enforced.
 
-    The page size and the query's counts are constant within a group, so any
-    aggregate returns them; keeping them out of the key lets the grouping and
-    the phrase join share one shuffle.
+    A query with phrases starts from the pages that hold them all; only queries
+    without any look at every page that holds one of their words. The page size
+    and the query's counts are constant within a group, so any aggregate returns
+    them.
     """
-    totals = (
-        term_weights(index, parsed)
-        .groupBy("query_id", "url")
-        .agg(
-            F.sum("weight").alias("total"),
-            F.max("document_size").alias("document_size"),
-            F.max("n_known").alias("n_known"),
-            F.max("n_phrases").alias("n_phrases"),
-        )
+    known = written(known_terms(index, parsed), "terms")
+    weights = _weighed(index, postings_for(index, known.where("n_phrases = 0")))
+    phrased = parsed.where(F.size("phrases") > 0)
+    if known.where("n_phrases > 0").take(1):
+        holding = written(pages_with_all_phrases(index, phrased), "holding")
+        free = known.where("n_phrases = 0").take(1)
+        on_pages = _weights_on(index, known.where("n_phrases > 0"), holding)
+        weights = weights.unionByName(on_pages) if free else on_pages
+    totals = weights.groupBy("query_id", "url").agg(
+        F.sum("weight").alias("total"),
+        F.max("document_size").alias("document_size"),
+        F.max("n_known").alias("n_known"),
     )
-    holding = pages_with_all_phrases(index, parsed).withColumn("_holds", F.lit(True))
-    return (
-        totals.join(holding, ["query_id", "url"], "left")
-        .where("n_phrases = 0 OR _holds")
-        .select(
-            "query_id",
-            "url",
-            (F.col("total") / (F.col("document_size") * F.col("n_known"))).alias("score"),
-        )
+    return totals.select(
+        "query_id",
+        "url",
+        (F.col("total") / (F.col("document_size") * F.col("n_known"))).alias("score"),
     )
 
 
@@ -156,9 +170,8 @@ def hit_counts(
 
 def matched_keywords(index: Index, parsed: DataFrame, results: DataFrame) -> DataFrame:
     """Map of matched word to term frequency for the given results only."""
-    entries = term_weights(index, parsed).join(
-        results.select("query_id", "url"), ["query_id", "url"], "left_semi"
-    )
+    known = written(known_terms(index, parsed), "terms")
+    entries = _weights_on(index, known, results.select("query_id", "url"))
     return entries.groupBy("query_id", "url").agg(
         F.map_from_entries(
             F.array_sort(F.collect_list(F.struct("word", "term_frequency")))
