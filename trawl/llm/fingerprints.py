@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm.common import WordHashes, by_arrow, lower_words, mixed, shingles
-from trawl.llm.ranges import key_ranges, placed
+from trawl.llm.ranges import by_range, key_ranges, placed
 
 EXACT_LANES = 4
 NEAR_LANES = 128
@@ -141,9 +141,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         keys[0].alias("k0"), keys[1].alias("k1"),
     )
     # what follows a range from outside, role -1, stands behind its own rows
-    ordered = dealt.repartition("range").sortWithinPartitions(
-        "range", F.desc("role"), F.desc("k0"), F.desc("k1")
-    ).select("doc_id", "text", "range", "role")
+    ordered = by_range(dealt, ranges, F.desc("role"), F.desc("k0"), F.desc("k1")).select(
+        "doc_id", "text", "range", "role"
+    )
 
     def job(batches):
         hashes = WordHashes()

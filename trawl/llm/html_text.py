@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm.common import by_arrow
-from trawl.llm.ranges import key_ranges, placed
+from trawl.llm.ranges import by_range, key_ranges, placed
 
 # fixed values: names of elements, and words in class, id and role, by meaning
 RAW = "script style noscript template iframe svg head title textarea select object"
@@ -247,9 +247,7 @@ def extract(pages: DataFrame) -> DataFrame:
     around = placed(parsed, keys, ranges).select(
         "*", F.col("at.range").alias("range"), F.col("at.role").alias("role")
     ).drop("at")
-    ordered = around.repartition("range").sortWithinPartitions(
-        "range", "role", "host", "path", "tie"
-    )
+    ordered = by_range(around, ranges, "role", "host", "path", "tie")
     columns = ("page_id", "url", "host", "path", "article", "marked", "other", "chrome",
                "range", "role")
 

@@ -294,13 +294,15 @@ def near_duplicates(
         signed.where("n_shingles > 0").groupBy("digest").agg(
             F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
             F.first("first").alias("first"), F.first("second").alias("second"),
+            F.max(F.struct("doc_id", "text_hash")).alias("row"),
         ),
         "classes",
     )
     members = kept(table_members(classes), "tables")
     involved = members.select("digest").distinct()
     wanted = classes.join(involved, "digest", "left_semi").select(
-        F.col("doc_id").alias("wanted_id"), F.col("digest").alias("wanted")
+        F.col("row.doc_id").alias("wanted_id"), F.col("row.text_hash").alias("wanted_hash"),
+        F.col("digest").alias("wanted"),
     )
 
     def full_sets(batches):
@@ -313,8 +315,10 @@ def near_duplicates(
                     found.append((name, members))
             yield {"digest": [n for n, _ in found], "members": [s.view(np.int64) for _, s in found]}
 
+    # by id and text, as many rows may have no id
     texts = docs.select("doc_id", "text").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))
+        wanted,
+        F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.xxhash64("text") == F.col("wanted_hash")),
     ).select("text", "wanted")
     sets = kept(by_arrow(texts, "digest binary, members array<bigint>", full_sets), "sets")
 

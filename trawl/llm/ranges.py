@@ -69,3 +69,12 @@ def placed(
         return pa.array(out, kind)
 
     return rows.select("*", F.explode(places(*keys)).alias("at"))
+
+
+def by_range(rows: DataFrame, ranges: list, *order: Column | str) -> DataFrame:
+    """Rows of :func:`placed` dealt by ``range``, as many tasks as ranges, and sorted.
+
+    So a task reads a few ranges, however many there are.
+    """
+    tasks = max(1, len(ranges))
+    return rows.repartition(tasks, "range").sortWithinPartitions("range", *order)

@@ -183,7 +183,7 @@ def without_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
 
     Rows without a passage, or without doc_id, stay as they are.
     """
-    gone = passages.where(~F.col("is_first")).groupBy(F.col("doc_id").alias("gone_id")).agg(
+    gone = passages.where(~F.col("is_first") & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("gone_id")).agg(
         F.sort_array(F.collect_set(F.struct("first", "stop"))).alias("gone_spans")
     )
     joined = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g.gone_id"), "left")
