@@ -34,6 +34,7 @@ DATED_PARAGRAPH = (
     r"[^>]*>(.*?)(?:</p\s*>|<p\b|\z)"
 )
 INLINE_ELEMENT = r"(?is)<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>"
+# Fixed value: the sentence that dates a page.
 UPDATED_ON = r"Last updated on (\d{4}-\d{2}-\d{2})"
 
 
@@ -133,5 +134,5 @@ def updated_on(page: Column) -> Column:
     first = F.regexp_extract(F.array_join(own_text, "\n"), UPDATED_ON, 1)
     return F.when(
         F.contains(page, F.lit("Last updated on ")),
-        F.try_to_timestamp(F.nullif(first, F.lit("")), F.lit("yyyy-MM-dd")),
+        F.try_to_date(F.nullif(first, F.lit("")), "yyyy-MM-dd"),
     ).cast("timestamp_ntz")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions.words import NOT_WORD, drop_stopwords, stems
 
+# Fixed value: what a phrase is.
 PHRASE = r'"([^"]+)"'
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trawl.functions.expr import each, let, let_sql
 from trawl.functions.porter import stem_array
 
+# What counts as a word in a text, in a title, and between words.
 WORD = r"([A-Za-z0-9][A-Za-z0-9\-_]*)"
 # The title string also lets a word begin with an opening bracket.
 TITLE_WORD = r"([\[A-Za-z0-9][A-Za-z0-9\-_]*)"

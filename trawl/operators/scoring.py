@@ -10,6 +10,7 @@ from trawl.operators.matching import known_terms, pages_with_all_phrases, postin
 from trawl.plans.index import Index
 from trawl.session import written
 
+# Fixed value.
 TITLE_BOOST = 1000
 # Scores that agree to this many significant digits tie: the order of a
 # floating-point sum must not decide a ranking.

@@ -28,6 +28,7 @@ from trawl.functions.expr import bucket
 from trawl.plans.index import Index, links_of, postings_of
 from trawl.session import remove_folder
 
+# The names of the columns that index tables share with their users.
 DOCUMENTS = (
     "url string, title string, document_size int, modified timestamp_ntz, "
     "fetched timestamp, max_tf int, document_chars bigint, "
