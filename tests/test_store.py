@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from conftest import PAGES, link, page
 from trawl import IndexStore, analyse, html_pages, index_batch, index_of, index_report, index_stream
-from trawl import latest_pages, page_fields, read_stopwords
+from trawl import latest_pages, page_fields, parse_queries, read_stopwords
+from trawl.operators.matching import known_terms, postings_for
+from trawl.operators.scoring import scores
 from trawl.sources.pages import one_per_url
 from trawl.session import new_folder, scratch, shared_dir, written
 
@@ -226,3 +228,30 @@ def test_size_header_and_text_after_the_body(spark):
     found = {r.url[-1]: r for r in page_fields(html_pages(table)).collect()}
     assert found["a"].document_chars == 2147483648 and found["b"].document_chars == 14
     assert found["a"].body_text.split() == ["inside", "after"]
+
+
+def test_search_after_a_recrawl(spark, pages, changed, expected):
+    store = IndexStore(spark, new_folder(spark, "store"), buckets=2)
+    index_batch(store, pages, 0)
+    index_batch(store, changed, 1)
+    newest = dict(PAGES) | dict(CHANGED)
+    rows = spark.createDataFrame(list(newest.items()), "url string, html string")
+    rebuilt = index_of(analyse(page_fields(html_pages(rows))))
+    queries = spark.createDataFrame(
+        [(1, "tart pie plum"), (2, '"tart pie" shop'), (3, '"pie shop"'), (4, "apple")],
+        "query_id int, query string",
+    )
+    parsed = parse_queries(queries)
+    found = [
+        sorted((r.query_id, r.url, round(r.score, 9)) for r in scores(index, parsed).collect())
+        for index in (store.load(), rebuilt)
+    ]
+    assert found[0] == found[1] and found[0]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = postings_for(store.load(), known_terms(store.load(), parsed))
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "LeftAnti" not in plan and plan.index("LeftOuter") < plan.index("Join Inner")

@@ -71,7 +71,22 @@ def postings_for(index: Index, words: DataFrame) -> DataFrame:
     selection, and so worth pruning the postings' folders by.
     """
     keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
-    return index.postings.join(words.where(F.length("word") > 0), keys)
+    return on_postings(index, words, keys)
+
+
+def on_postings(index: Index, words: DataFrame, keys: list[str]) -> DataFrame:
+    """Postings that ``words`` ask for by ``keys``, of the newest versions of pages.
+
+    The words select first and old versions are dropped from what is left, so
+    the postings of the whole index never move for pages fetched again. (Spark
+    would push an anti join below the selection, hence the outer join.)
+    """
+    asked = words.where(F.length("word") > 0)
+    if index.replaced is None:
+        return index.postings.join(asked, keys)
+    found = index.all_postings.join(asked, keys)
+    old = index.replaced.withColumn("_old", F.lit(True))
+    return found.join(old, ["url", "batch"], "left").where("_old IS NULL").drop("batch", "_old")
 
 
 def phrase_hits(index: Index, parsed: DataFrame) -> DataFrame:
@@ -98,8 +113,7 @@ def phrase_hits(index: Index, parsed: DataFrame) -> DataFrame:
     # One row per page and further word; a phrase of one word has no word here.
     wanted = written(rarest.join(others, phrase, "left"), "phrase-pages")
     agreed = (
-        index.postings.select(*keys, "url", "positions")
-        .join(wanted.where(F.length("word") > 0), [*keys, "url"])
+        on_postings(index, wanted, [*keys, "url"])
         .select(
             *phrase,
             "url",

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.dates import display_date
-from trawl.operators.matching import known_terms, pages_with_all_phrases, postings_for
+from trawl.operators.matching import (
+    known_terms, on_postings, pages_with_all_phrases, postings_for,
+)
 from trawl.plans.index import Index
 from trawl.session import written
 
@@ -51,7 +53,7 @@ def _weights_on(index: Index, known: DataFrame, pages: DataFrame) -> DataFrame:
     """
     wanted = written(known.join(pages, "query_id"), "wanted")
     keys = [name for name in ("word_bucket", "word") if name in wanted.columns]
-    return _weighed(index, index.postings.join(wanted.where(F.length("word") > 0), [*keys, "url"]))
+    return _weighed(index, on_postings(index, wanted, [*keys, "url"]))
 
 
 def scores(index: Index, parsed: DataFrame) -> DataFrame:

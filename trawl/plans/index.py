@@ -135,7 +135,9 @@ class Index:
 
     ``documents`` holds each page's children, ``postings`` the positions, and
     ``corpus`` one row with the number of documents. ``buckets`` is set when the
-    tables come from a store, which files words and link targets by bucket.
+    tables come from a store, which files words and link targets by bucket. After
+    pages were fetched again, ``all_postings`` has those of their old versions
+    too, by ``batch``, and ``replaced`` lists these as ``url, batch``.
     """
 
     documents: DataFrame
@@ -144,6 +146,8 @@ class Index:
     links: DataFrame
     corpus: DataFrame
     buckets: int | None = None
+    all_postings: DataFrame | None = None
+    replaced: DataFrame | None = None
 
     @property
     def positions(self) -> DataFrame:

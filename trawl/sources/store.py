@@ -89,13 +89,19 @@ class IndexStore:
 
     def _live(self, table: DataFrame, rows: list, url: str = "url") -> DataFrame:
         """Drop rows of pages that a later batch replaced."""
+        gone = self._gone(rows)
+        if gone is None:
+            return table
+        return table.join(gone.withColumnRenamed("url", url), [url, "batch"], "left_anti")
+
+    def _gone(self, rows: list) -> DataFrame | None:
+        """Replaced versions of pages as ``url, batch``; None if there are none."""
         replacing = [row.batch for row in rows if row.replaced]
         if not replacing:
-            return table
-        gone = self._read("superseded", SUPERSEDED, replacing).select(
-            F.col("url").alias(url), F.col("superseded_batch").alias("batch")
+            return None
+        return self._read("superseded", SUPERSEDED, replacing).select(
+            "url", F.col("superseded_batch").alias("batch")
         )
-        return table.join(gone, [url, "batch"], "left_anti")
 
     def _documents(self, rows: list) -> DataFrame:
         ids = [row.batch for row in rows]
@@ -115,6 +121,8 @@ class IndexStore:
         return Index(
             documents=self._documents(rows).drop("terms"),
             postings=self._live(self._read("postings", POSTINGS, ids), rows).drop("batch"),
+            all_postings=self._read("postings", POSTINGS, ids),
+            replaced=self._gone(rows),
             keywords=keywords.drop("batch"),
             links=self._live(self._read("links", LINKS, ids), rows, "parent_url").drop("batch"),
             corpus=self.spark.range(1).select(F.lit(n_documents).alias("n_documents")),
