@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm.common import drop_kept, kept
 from trawl.llm.decontaminate import decontaminated
 from trawl.llm.language import accepted
 from trawl.llm.lines import without_spread_lines
 from trawl.llm.mixing import mixed_documents
 from trawl.llm.near_dup import first_of_each_group
+from trawl.session import new_folder, remove_folder, scratch
 
 NEAR_PERCENT = 80
 
@@ -61,13 +61,19 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again.
+
+    A stage's own tables, and what its predecessor wrote, are deleted when it is done.
+    """
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        after = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = new_folder(spark, f"pipeline-{name}")
+        with scratch(spark):
+            after = stage(spark, docs, sf_dir)
+            after.write.parquet(path)
         if before is not None:
-            drop_kept(spark, before)
-        docs = before = after
+            remove_folder(spark, before)
+        docs, before = spark.read.schema(after.schema).parquet(path), path
     return docs
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.session import shared_dir
+from trawl.session import remove_folder, written
 
 WORD_CACHE = 1 << 19
 SHINGLE_WORDS = 5
@@ -22,19 +21,16 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 def kept(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` as a table in the folder that all executors share.
 
-    Computed once; a lost executor takes nothing of it along.
+    Computed once; a lost executor takes nothing of it along. Tables made inside
+    a ``trawl.session.scratch`` block go when it ends.
     """
-    path = f"{shared_dir(rows.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return written(rows, name)
 
 
 def drop_kept(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete tables of :func:`kept` that nothing reads any more."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}:
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(conf).delete(folder, True)
+        remove_folder(spark, path)
 
 
 def fresh(rows: DataFrame, name: str) -> str:
