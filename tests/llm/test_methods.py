@@ -193,7 +193,8 @@ def test_gradients_by_differences():
     answer = np.array([0, 1, 2, 1, 0])
 
     def loss():
-        p = net.labels(codes, real)[0][:, answer, np.arange(5)]
+        states = net.ahead.run(codes, real)[0], net.behind.run(codes[::-1], real[::-1])[0][::-1]
+        p = net._softmax(*states)[:, answer, np.arange(5)]
         return -(np.log(p) * real).sum() / real.sum()
 
     for w, g in zip(net.weights(), net.gradients(codes, real, answer)):
@@ -210,6 +211,13 @@ def test_gradients_by_differences():
             assert abs((up - down) / 2e-2 - g[at]) < 2e-3
 
 
+def test_states_agree_with_those_of_training():
+    net = language.Network.fresh(["a", "b"], 6, np.random.default_rng(3))
+    codes = np.random.default_rng(4).integers(0, 256, (20, 7)).astype(np.uint8)
+    real = (codes > 20).astype(np.float32)
+    assert np.allclose(net.ahead.states(codes, real), net.ahead.run(codes, real)[0], atol=1e-6)
+
+
 def test_every_byte_is_pooled():
     net = language.Network.fresh(["a", "b"], 4, np.random.default_rng(9))
     texts = [bytes(range(1, 200)), b"x", b"y" * 70]
