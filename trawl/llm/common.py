@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from trawl.session import remove_folder, written
 
-WORD_CACHE = 1 << 19
+WORD_CACHE = 1 << 18
+#: Rows that a job sees at once, whatever the session sends to Python in a batch.
+ROWS_AT_ONCE = 1_000
 SHINGLE_WORDS = 5
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -44,7 +46,11 @@ def fresh(rows: DataFrame, name: str) -> str:
 def by_arrow(
     rows: DataFrame, schema: str, job: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]
 ) -> DataFrame:
-    """``mapInArrow`` for a job that yields a dict of columns per batch."""
+    """``mapInArrow`` for a job that yields a dict of columns per batch.
+
+    The job sees batches of at most ``ROWS_AT_ONCE`` rows, as it turns them into
+    Python objects.
+    """
     fields = rows.sparkSession.createDataFrame([], schema).schema
     names = fields.names
 
@@ -52,7 +58,12 @@ def by_arrow(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         wanted = to_arrow_schema(fields)
-        for columns in job(batches):
+        small = (
+            batch.slice(i, ROWS_AT_ONCE)
+            for batch in batches
+            for i in range(0, batch.num_rows, ROWS_AT_ONCE)
+        )
+        for columns in job(small):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[n], wanted.field(n).type) for n in names], schema=wanted
             )
