@@ -22,6 +22,8 @@ UNIT_CHUNKS = 2
 #: Least words of a run of repeated units. A run starts and ends at chunk ends,
 #: so a passage of 50 words leaves one of 41 on average.
 MIN_WORDS = 25
+#: Digests that may be sent to all tasks: those with more than this part of all units.
+HOT_DIGESTS = 10_000
 _BLOCK = 1 << 22
 _GEAR = (mixed(np.arange(256, dtype=np.uint64), 17) >> np.uint64(32)).astype(np.uint32)
 _SPACE = np.zeros(256, bool)
@@ -124,8 +126,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     stands before; pairs of neighbouring chunks with one digest in two documents
     or more are repeated, and overlapping ones are joined to a passage.
 
-    Digests are counted before they are shuffled, so a passage may stand in any
-    part of the documents; a hot digest is joined in pieces. Null and empty texts
+    Digests are counted before they are shuffled, and those that are over a
+    10,000th of all units, at most 10,000, are looked up where the units lie; so a
+    passage may stand in any part of the documents. Null and empty texts
     have no passage; passages inside one document, or in repeated rows of one
     doc_id, are not repeated. A document without id is known by its text's hash
     and reported with a null id. Other columns are not read.
@@ -148,11 +151,21 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         by_arrow(named, "who bigint, known boolean, digest bigint, first int, stop int, words smallint", cut),
         "units",
     )
-    repeated = table.groupBy("digest").agg(
-        F.min("who").alias("source"), F.max("who").alias("last")
-    ).where("source <> last").select("digest", "source")
+    repeated = kept(
+        table.groupBy("digest").agg(
+            F.min("who").alias("source"), F.max("who").alias("last"), F.count("*").alias("times")
+        ).where("source <> last").select("digest", "source", "times"),
+        "repeated",
+    )
     packed = table.select("digest", "who", "known", F.struct("first", "stop", "words").alias("at"))
-    found = packed.join(repeated, "digest").groupBy("who", "known").agg(
+    # not more than HOT_DIGESTS rows can each be so large a part of all
+    hot_from = table.count() / HOT_DIGESTS
+    hot = F.broadcast(repeated.where(F.col("times") > hot_from).drop("times"))
+    rest = repeated.where(F.col("times") <= hot_from).drop("times")
+    marked = packed.join(hot, "digest").unionByName(
+        packed.join(hot, "digest", "left_anti").join(rest, "digest")
+    )
+    found = marked.groupBy("who", "known").agg(
         F.collect_list(F.struct("at.first", "at.stop", "at.words", "source")).alias("units")
     )
 
