@@ -13,7 +13,7 @@ from trawl.llm.near_dup import first_of_each_group, near_duplicates
 from trawl.llm.pii import find_personal_data, redacted
 from trawl.llm.substrings import repeated_passages, without_repeats
 from trawl.llm.tokens import token_counts
-from .conftest import LONG, ROWS
+from .conftest import LONG, ROWS, documents
 
 IDS = [r[0] for r in ROWS]
 
@@ -89,6 +89,19 @@ def test_lines(edge_docs, no_docs):
     assert without_spread_lines(no_docs)[0].collect() == []
 
 
+def test_lines_of_a_block_on_many_sites(spark):
+    """Every line of an unchanged footer goes; a text copied to many sites stays."""
+    footer = "Footer A\nFooter B\nFooter C"
+    rows = [(i, f"own text {i}\n{footer}", "en", f"s{i:02}") for i in range(20)]
+    rows += [(100 + i, "copied one\ncopied two\ncopied three", "en", f"s{i:02}") for i in range(20)]
+    # one site, many texts
+    rows += [(200 + i, f"mine {i}\nonly here\nend {i}", "en", "s00") for i in range(20)]
+    found, _, removed = without_spread_lines(documents(spark, rows))
+    got = {r.doc_id: r for r in found.collect()}
+    assert all(got[i].text == f"own text {i}" and got[i][removed] == 3 for i in range(20))
+    assert all(got[i].text == t and got[i][removed] == 0 for i, t, *_ in rows if i >= 100)
+
+
 def test_passages(edge_docs, no_docs):
     rows = repeated_passages(edge_docs).collect()
     assert {r.doc_id for r in rows} == {6, 7}

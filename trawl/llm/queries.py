@@ -56,7 +56,10 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, total, removed = without_spread_lines(_table(spark, sf_dir, "documents"))
+    # its SQL counts sites by neighbourhood
+    docs, total, removed = without_spread_lines(
+        _table(spark, sf_dir, "documents"), by_neighbours=True
+    )
     return docs.select(
         "doc_id", F.col(total).alias("n_lines"), F.col(removed).alias("n_removed"), "text"
     )
