@@ -1,8 +1,11 @@
 """Nulls, empty and very long texts, repeated rows, empty tables, clashing columns."""
 
+from collections import defaultdict
+
 import pytest
 
 import corpus_pipeline
+from trawl.llm import mixing
 from trawl.llm.decontaminate import contaminations, decontaminated
 from trawl.llm.fingerprints import edited_fingerprints, fingerprints
 from trawl.llm.html_text import extract
@@ -63,6 +66,20 @@ def test_mixing(edge_docs):
     assert mixed.columns[-3] == "mix_taken_" and all(r["mix_taken_"] > 0 for r in mixed.collect())
 
 
+@pytest.mark.parametrize("shard_words", [1_000, 500, 300])
+def test_shards_of_a_hot_source_add_up(spark, monkeypatch, shard_words):
+    """Shards with about 1.2, 0.6 and 0.35 blocks each take the target of their source."""
+    monkeypatch.setattr(mixing, "SHARD_WORDS", shard_words)
+    texts = ["w " * 50] * 4_000
+    rows = [(i, t, "en", "c" if i < 3_400 else "abd"[i % 3]) for i, t in enumerate(texts)]
+    found = mix(documents(spark, rows), (5, 5, 1, 5), most=60).collect()
+    taken = defaultdict(int)
+    for r in found:
+        taken[r.source] += r.taken
+    goal = {r.source: r.target for r in found}
+    assert abs(taken["c"] - goal["c"]) <= 0.08 * goal["c"], (taken["c"], goal["c"])
+
+
 def test_near_duplicates(edge_docs):
     rows = near_duplicates(edge_docs).collect()
     found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows}

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.llm.common import fresh, kept, words_column
@@ -120,8 +120,9 @@ def _shard(table: pa.Table, block: int, most: int, seed: int) -> Iterator[dict]:
     stop = np.cumsum(size[order])
     start = stop - size[order]
     words = int(stop[-1])
-    share = table["blocks"][0].as_py() * words / table["source_size"][0].as_py()
-    wanted = min(int(share + 0.5) * block, most * words)
+    wanted = min(table["quota"][0].as_py() * block, most * words)
+    if table["blocks"][0].as_py() * block > most * table["source_size"][0].as_py() - block:
+        wanted = most * words  # the source is at its bound, so are all its shards
     passes, rest = divmod(wanted, words)
     count = max(1, round(words / block))
     edges = np.arange(count + 1, dtype=np.int64) * words // count
@@ -138,6 +139,31 @@ def _shard(table: pa.Table, block: int, most: int, seed: int) -> Iterator[dict]:
         yield {"row": row, "taken": taken, "passes": passes, "picks": picks}
 
 
+def shard_quotas(dealt: DataFrame) -> DataFrame:
+    """Blocks of every shard: quota_rank, quota_shard, quota.
+
+    The blocks of a source are cut at the rounded shares of the words up to each
+    shard. So a shard gets its share to less than a block, and those of a source
+    add up to its blocks.
+    """
+    each = dealt.groupBy("rank", "shard").agg(
+        F.sum("size").alias("words"), F.first("source_size").alias("whole"),
+        F.first("blocks").alias("blocks"),
+    )
+    up_to = F.sum("words").over(
+        Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    each = each.withColumn("up_to", up_to)
+    stop, start = (
+        F.floor(F.col("blocks") * (words / F.col("whole")) + 0.5)
+        for words in (F.col("up_to"), F.col("up_to") - F.col("words"))
+    )
+    return each.select(
+        F.col("rank").alias("quota_rank"), F.col("shard").alias("quota_shard"),
+        (stop - start).cast("bigint").alias("quota"),
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
@@ -150,7 +176,7 @@ def mix(
     targets share the size of the whole input (:func:`targets`). The targets are
     cut into blocks of equal words, given to the sources by Sainte-Laguë. A
     source is dealt by a hash into shards of about ``SHARD_WORDS``; a shard gets
-    its share of the blocks, rounded by the same rule, laid out in seeded order:
+    its quota of the blocks (:func:`shard_quotas`), laid out in seeded order:
     whole passes first, then blocks drawn at random for the rest. So one source
     may hold any part of the input, and a task sees one shard.
 
@@ -181,6 +207,11 @@ def mix(
     dealt = planned.where("size > 0").select(
         "*", draw.alias("draw"), shard.alias("shard")
     ).drop("shards")
+    quotas = shard_quotas(dealt)
+    dealt = dealt.join(
+        quotas,
+        (F.col("rank") == F.col("quota_rank")) & (F.col("shard") == F.col("quota_shard")),
+    ).drop("quota_rank", "quota_shard")
 
     def laid(table: pa.Table) -> pa.Table:
         rows = list(_shard(table, block, most, seed))
