@@ -149,6 +149,17 @@ def test_lines_shared_with_the_nearest_page():
     assert html_text.main_text(marked, marked)[0] == "H\n\na\n\nb"
 
 
+@pytest.mark.parametrize("start", [
+    "<head><title>t</title><meta charset=x><body>", "<head><title>t</title>", "<body class='has-sidebar'>",
+    "<html class='no-menu'><body id=share>", "<div id='page' class='with-sidebar page--menu'>",
+    "<div class=widget><main class='social'>", "<select><p>",
+])
+@pytest.mark.parametrize("article", ["<article>", "<article class='post social'>"])
+def test_no_page_is_lost_whole(start, article):
+    page = html_text.parse(f"{start}{article}<p>text<div class='site-footer'>f</div></article>")
+    assert html_text.main_text(page, None)[0] == "text"
+
+
 def test_edit_distance_of_the_best_part():
     rng = random.Random(6)
     for _ in range(200):

@@ -15,7 +15,9 @@ from trawl.llm.common import by_arrow
 from trawl.llm.ranges import by_range, key_ranges, placed
 
 # fixed values: names of elements, and words in class, id and role, by meaning
-RAW = "script style noscript template iframe svg head title textarea select object"
+RAW = "script style noscript template iframe svg title textarea select object"
+#: Elements whose content is text to their end tag, or to the end of the page.
+RAW_TO_END = "script style iframe title textarea"
 CHROME = "nav footer aside form dialog button menu"
 CHROME_UNLESS_ARTICLE = "header"
 CHROME_WORDS = (
@@ -24,6 +26,13 @@ CHROME_WORDS = (
     "notice notices paywall popup promo promoted related share sharing sidebar social sponsor "
     "sponsored subscribe toolbar widget"
 )
+#: What a class or id says after one of these is about the element, not its name.
+MODIFIERS = (
+    "has with without no not non is hide hides hidden show shows enable enables enabled disable "
+    "disables disabled"
+)
+#: Never menus or the like by a word in their class or id.
+WHOLE = "html body main article"
 CHROME_ROLES = "alert banner complementary contentinfo dialog menu menubar navigation search"
 BLOCK = (
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure "
@@ -33,6 +42,8 @@ BLOCK = (
 VOID = "area base br col embed hr img input link meta param source track wbr"
 
 _RAW, _CHROME, _BLOCK, _VOID = (frozenset(x.split()) for x in (RAW, CHROME, BLOCK, VOID))
+_RAW_TO_END, _WHOLE = frozenset(RAW_TO_END.split()), frozenset(WHOLE.split())
+_MODIFIERS = frozenset(MODIFIERS.split())
 _WORDS, _ROLES = frozenset(CHROME_WORDS.split()), frozenset(CHROME_ROLES.split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
@@ -56,14 +67,29 @@ class Page:
     chrome: list[bool] = field(default_factory=list)
 
 
+def _names_chrome(value: str) -> bool:
+    """Whether a name in a class or id is that of a menu and so on.
+
+    ``site-footer`` and ``sidebar--left`` are; ``has-sidebar``, ``no-menu`` and
+    ``page--sidebar`` are not, as they tell something about another thing.
+    """
+    for name in value.split():
+        for word in _NAME_WORD.findall(name.split("--")[0]):
+            if word in _MODIFIERS:
+                break
+            if word in _WORDS:
+                return True
+    return False
+
+
 def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
     if name in _CHROME or name == CHROME_UNLESS_ARTICLE and not in_article:
         return True
-    if "=" not in attributes:
+    if name in ("html", "body", "main") or "=" not in attributes:
         return False
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
-        if key.lower() in ("class", "id") and not _WORDS.isdisjoint(_NAME_WORD.findall(value)):
+        if key.lower() in ("class", "id") and name not in _WHOLE and _names_chrome(value):
             return True
         if key.lower() == "role" and value in _ROLES:
             return True
@@ -77,17 +103,21 @@ def parse(page: str) -> Page:
     open_names: list[str] = []
     chrome_at: list[int] = []  # depths of open elements that hold no main text
     article_at: list[int] = []
+    main_at: list[int] = []  # no element around a main is a menu or the like
+
+    def in_chrome() -> bool:
+        return bool(chrome_at) and chrome_at[-1] > (main_at[-1] if main_at else -1)
 
     def end_line() -> None:
         line = " ".join(html.unescape("".join(text)).split()) if text else ""
         text.clear()
         if not line:
             return
-        if article_at and not chrome_at:
+        if article_at and not in_chrome():
             out.article.append(line)
         else:
             out.other.append(line)
-            out.chrome.append(bool(chrome_at))
+            out.chrome.append(in_chrome())
 
     at = 0
     while (token := _TOKEN.search(page, at)) is not None:
@@ -111,6 +141,8 @@ def parse(page: str) -> Page:
                             chrome_at.pop()
                         if article_at and article_at[-1] == depth:
                             article_at.pop()
+                        if main_at and main_at[-1] == depth:
+                            main_at.pop()
                     open_names.pop()
                     if closed == name:
                         break
@@ -118,8 +150,11 @@ def parse(page: str) -> Page:
         if name in _RAW:
             if not token[3].endswith("/"):
                 end = _RAW_END[name].search(page, at)
-                at = end.end() if end else len(page)
+                if end or name in _RAW_TO_END:
+                    at = end.end() if end else len(page)
             continue
+        if name == "head":
+            continue  # what it holds is raw or empty; it ends where other content begins
         if name == "br":
             text.append(" ")
         if name in _BLOCK:
@@ -136,6 +171,8 @@ def parse(page: str) -> Page:
         elif name in ("article", "main") or 'role="main"' in token[3]:
             end_line()
             article_at.append(depth)
+            if name != "article":
+                main_at.append(depth)
             out.marked = True
     text.append(page[at:])
     end_line()
