@@ -149,6 +149,36 @@ def test_lines_shared_with_the_nearest_page():
     assert html_text.main_text(marked, marked)[0] == "H\n\na\n\nb"
 
 
+def test_repeated_lines_are_shared_as_long_as_possible(monkeypatch):
+    assert html_text.shared_lines(list("xax"), list("ax")) == {1, 2}
+    rng = random.Random(10)
+    for bits in (html_text.ROW_BITS, 8):
+        monkeypatch.setattr(html_text, "ROW_BITS", bits)
+        for _ in range(400):
+            a, b = (rng.choices("abcd"[: rng.randint(1, 4)], k=rng.randint(0, 14)) for _ in range(2))
+            row = [0] * (len(b) + 1)
+            for x in a:
+                new = [0]
+                for j, y in enumerate(b):
+                    new.append(row[j] + 1 if x == y else max(new[-1], row[j + 1]))
+                row = new
+            found = [a[i] for i in sorted(html_text.shared_lines(a, b))]
+            left = iter(b)
+            assert len(found) == row[-1] and all(x in left for x in found)
+
+
+def test_lines_of_a_main_are_aligned_and_articles_stay():
+    page = "<main><p>Share this</p><p>{0} own text</p><p>Read our letter</p>{1}</main>"
+    one, two = (html_text.parse(page.format(x, "")) for x in ("first, rather long", "second, just as long"))
+    assert html_text.main_text(two, one) == ("second, just as long own text", 2)
+    assert html_text.main_text(two, two)[0] == "Share this\n\nsecond, just as long own text\n\nRead our letter"
+    one, two = (
+        html_text.parse(page.format(x, "<article><p>Share this</p><p>story</p></article>"))
+        for x in ("first, it is as long as all other lines", "second, and longer than the sum of others")
+    )
+    assert html_text.main_text(two, one)[0].split("\n\n")[1:] == ["Share this", "story"]
+
+
 @pytest.mark.parametrize("start", [
     "<head><title>t</title><meta charset=x><body>", "<head><title>t</title>", "<body class='has-sidebar'>",
     "<html class='no-menu'><body id=share>", "<div id='page' class='with-sidebar page--menu'>",

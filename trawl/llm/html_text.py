@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,8 @@ BLOCK = (
     "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section "
     "summary table tbody td tfoot th thead tr ul aside"
 )
+#: Bits of rows held at once to read a common subsequence from.
+ROW_BITS = 1 << 22
 VOID = "area base br col embed hr img input link meta param source track wbr"
 
 _RAW, _CHROME, _BLOCK, _VOID = (frozenset(x.split()) for x in (RAW, CHROME, BLOCK, VOID))
@@ -58,13 +61,15 @@ _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE) for name in _R
 class Page:
     """Text lines in page order: what the author marked as the article, and the rest.
 
-    ``chrome`` tells which of the other lines stand in menus, footers and the like.
+    ``whole`` tells which marked lines stand in an ``article``, not only in a
+    ``main``; ``chrome`` which of the others stand in menus, footers and the like.
     """
 
     article: list[str] = field(default_factory=list)
     marked: bool = False
     other: list[str] = field(default_factory=list)
     chrome: list[bool] = field(default_factory=list)
+    whole: list[bool] = field(default_factory=list)
 
 
 def _names_chrome(value: str) -> bool:
@@ -115,6 +120,7 @@ def parse(page: str) -> Page:
             return
         if article_at and not in_chrome():
             out.article.append(line)
+            out.whole.append(len(article_at) > len(main_at))
         else:
             out.other.append(line)
             out.chrome.append(in_chrome())
@@ -179,39 +185,77 @@ def parse(page: str) -> Page:
     return out
 
 
+def _rows(lines: list[str], other: list[str]) -> Iterator[int]:
+    """Bits per line: place j is 0 where one place more of ``other`` lengthens the subsequence."""
+    places: dict[str, list[int]] = defaultdict(list)
+    for j, line in enumerate(other):
+        places[line].append(j)
+    often: dict[str, int] = {}  # masks of rare lines are made when needed, as they are long
+    full = row = (1 << len(other)) - 1
+    for line in lines:
+        mask = often.get(line, 0)
+        if not mask:
+            for j in places.get(line, ()):
+                mask |= 1 << j
+            if len(places.get(line, ())) > 64:
+                often[line] = mask
+        hit = row & mask
+        row = ((row + hit) | (row - hit)) & full
+        yield row
+
+
+def _lengths(lines: list[str], other: list[str]) -> list[int]:
+    """Longest common subsequence of ``lines`` with every beginning of ``other``."""
+    row = (1 << len(other)) - 1
+    for row in _rows(lines, other):
+        pass
+    bits = format(row, f"0{len(other)}b")[::-1] if other else ""
+    return list(accumulate((bit == "0" for bit in bits), initial=0))
+
+
+def _common(lines: list[str], other: list[str], at: int) -> Iterator[int]:
+    """Places, from ``at`` on, of a longest common subsequence; cut in two while large."""
+    n, m, first = len(lines), len(other), 0
+    while first < min(n, m) and lines[first] == other[first]:
+        yield at + first
+        first += 1
+    while n > first and m > first and lines[n - 1] == other[m - 1]:
+        n, m = n - 1, m - 1
+        yield at + n
+    lines, other, at = lines[first:n], other[first:m], at + first
+    n, m = len(lines), len(other)
+    if not n or not m:
+        return
+    if n > 1 and n * m > ROW_BITS:
+        half = n // 2
+        ahead = _lengths(lines[:half], other)
+        behind = _lengths(lines[half:][::-1], other[::-1])
+        cut = max(range(m + 1), key=lambda j: ahead[j] + behind[m - j])
+        yield from _common(lines[:half], other[:cut], at)
+        yield from _common(lines[half:], other[cut:], at + half)
+        return
+    rows = list(_rows(lines, other))
+    i, j = n - 1, m - 1
+    while i >= 0 and j >= 0:
+        if rows[i] >> j & 1:
+            j -= 1
+        elif i and not rows[i - 1] >> j & 1:
+            i -= 1
+        else:
+            yield at + i
+            i, j = i - 1, j - 1
+
+
 def shared_lines(lines: list[str], other: list[str]) -> set[int]:
     """Places in ``lines`` of a longest common subsequence with ``other``.
 
-    Repeated lines are paired in their order, the k-th with the k-th; so the
-    longest increasing run of partners is one, in n log n steps.
+    A line may match any copy of it. Rows of the comparison are bits of one
+    number, so that a thousand lines take a thousand steps.
     """
-    places: dict[tuple[str, int], int] = {}
-    seen: dict[str, int] = defaultdict(int)
-    for j, line in enumerate(other):
-        places[line, seen[line]] = j
-        seen[line] += 1
-    seen.clear()
-    tails: list[int] = []
-    ends: list[int] = []
-    before: dict[int, int] = {}
-    for i, line in enumerate(lines):
-        j = places.get((line, seen[line]))
-        seen[line] += 1
-        if j is None:
-            continue
-        k = bisect_left(tails, j)
-        if k == len(tails):
-            tails.append(j)
-            ends.append(i)
-        else:
-            tails[k], ends[k] = j, i
-        before[i] = ends[k - 1] if k else -1
-    out: set[int] = set()
-    i = ends[-1] if ends else -1
-    while i >= 0:
-        out.add(i)
-        i = before[i]
-    return out
+    here, there = set(lines), set(other)
+    places = [i for i, line in enumerate(lines) if line in there]
+    found = _common([lines[i] for i in places], [x for x in other if x in here], 0)
+    return {places[i] for i in found}
 
 
 def main_text(page: Page, nearest: Page | None) -> tuple[str, int]:
@@ -219,15 +263,25 @@ def main_text(page: Page, nearest: Page | None) -> tuple[str, int]:
 
     Lines outside a marked article are aligned with those of the nearest page;
     shared ones go, as do those that the markup itself calls menu, footer and so
-    on. A page with a marked article is that article: it may be a copy of its
-    neighbour's, and what an author marked is no template.
+    on. So do lines of a ``main`` that are in no ``article``, unless both pages
+    share half of the marked text or more, as copies do. Lines of an ``article``
+    stay: what an author marked so is no template.
     """
     shared = shared_lines(page.other, nearest.other) if nearest else set()
+    if page.marked:
+        gone: set[int] = set()
+        if nearest and not all(page.whole):
+            same = shared_lines(page.article, nearest.article if nearest.marked else nearest.other)
+            chars = sum(len(page.article[i]) for i in same)
+            if 2 * chars < sum(map(len, page.article)):
+                gone = {i for i in same if not page.whole[i]}
+        rest = [line for i, line in enumerate(page.article) if i not in gone]
+        return "\n\n".join(rest), len(shared) + len(gone)
     rest = [
         line for i, (line, chrome) in enumerate(zip(page.other, page.chrome))
         if i not in shared and not chrome
     ]
-    return "\n\n".join(page.article if page.marked else rest), len(shared)
+    return "\n\n".join(rest), len(shared)
 
 
 def _closeness(path: str, other: str) -> int:
@@ -264,6 +318,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 "marked": [p.marked for p in found],
                 "other": [p.other for p in found],
                 "chrome": [p.chrome for p in found],
+                "whole": [p.whole for p in found],
             }
 
     url = F.coalesce("url", F.lit(""))
@@ -278,7 +333,8 @@ def extract(pages: DataFrame) -> DataFrame:
     parsed = by_arrow(
         keyed,
         "page_id bigint, url string, host string, path string, tie bigint, "
-        "article array<string>, marked boolean, other array<string>, chrome array<boolean>",
+        "article array<string>, marked boolean, other array<string>, chrome array<boolean>, "
+        "whole array<boolean>",
         lines,
     )
     around = placed(parsed, keys, ranges).select(
@@ -286,7 +342,7 @@ def extract(pages: DataFrame) -> DataFrame:
     ).drop("at")
     ordered = by_range(around, ranges, "role", "host", "path", "tie")
     columns = ("page_id", "url", "host", "path", "article", "marked", "other", "chrome",
-               "range", "role")
+               "whole", "range", "role")
 
     def compare(batches):
         window: list[dict] = []
@@ -307,7 +363,7 @@ def extract(pages: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                row["page"] = Page(row["article"], row["marked"], row["other"], row["chrome"])
+                row["page"] = Page(*[row[c] for c in ("article", "marked", "other", "chrome", "whole")])
                 window.append(row)
                 if len(window) >= 2 and window[-2]["role"] == 0:
                     out.append(done(window[-2], window[-3] if len(window) > 2 else None, row))
