@@ -222,6 +222,36 @@ def test_edited_items_are_found_and_others_not():
     assert not {t for t, _ in found if t >= 240}
 
 
+def test_words_follow_unicode():
+    words = lambda t: [w.decode() for w in decontaminate._words(t)]
+    assert words("Don’t—stop… état\u00a0naïve_2") == ["don", "t", "stop", "état", "naïve", "2"]
+    assert words("日本語 and 語。ภาษาที่ 한국어 हिन्दी e\u0301t") == [
+        *"日本語", "and", "語", *"ภาษา", "ที่", "한국어", "हिन्दी", "e\u0301t",
+    ]
+    rng = random.Random(11)
+    for _ in range(2_000):
+        text = "".join(rng.choice("aB9 _-éÀ×ß日。ท่\u0301한—’👍\u00a0\ud800\n") for _ in range(rng.randint(0, 20)))
+        assert words_of_spans(text) == decontaminate._words(text)
+
+
+def words_of_spans(text):
+    lower = lambda w: "".join(c.lower() if "A" <= c <= "Z" else c for c in w)
+    return [lower(m[0]).encode() for m in decontaminate._WORD.finditer(text)]
+
+
+@pytest.mark.parametrize("item, before, after", [
+    ("今天的天气非常好我们一起去公园散步", "他说", "然后回家。"),
+    ("天气好", "今天", "啊"),
+    ("วันนี้อากาศดีมาก", "เขาบอกว่า", "แล้วกลับบ้าน"),
+    ("a short item", "he said “", "” and"),
+    ("a short item", "this—", "—and"),
+])
+def test_items_are_found_in_any_script(item, before, after):
+    block = decontaminate.Items([(1, item)])
+    found = list(block.find([before + item + after, before + after]))
+    assert [f[:3] for f in found] == [(0, 0, 0)]
+
+
 def test_gradients_by_differences():
     rng = np.random.default_rng(8)
     net = language.Network.fresh(["a", "b", "c"], 4, rng)

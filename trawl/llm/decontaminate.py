@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -28,14 +29,55 @@ ITEMS_PER_PASS = 20_000
 PACK_BYTES = 8 << 20
 _SLOT_BITS = 22
 _KEY = np.uint64(0x9E3779B97F4A7C15)
-_WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")
+#: Scripts written without spaces: Thai, Lao, Burmese, Khmer, kana, Han and such.
+_UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF),
+    (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x302F), (0x3031, 0x312F), (0x31A0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x323AF),
+)
+_SCRIPTS_END = 0x323B0
+
+
+def _class_of(points: Iterable[int]) -> str:
+    """A regular expression's class of code points."""
+    runs: list[list[int]] = []
+    for c in points:
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
+
+
+def _word_pattern() -> str:
+    single, letters, marks = [], [], []
+    for c in range(_SCRIPTS_END):
+        kind = unicodedata.category(chr(c))[0]
+        if kind == "M":
+            marks.append(c)
+        elif kind in "LN":
+            (single if any(a <= c <= b for a, b in _UNSPACED) else letters).append(c)
+    one, mark = _class_of(single), _class_of(marks)
+    run = _class_of(sorted(letters + marks))
+    return rf"[{one}][{mark}]*+|[{run}]++"
+
+
+_WORD = re.compile(_word_pattern())
+#: Latin letters, and ASCII. In texts of these alone bytes from 0x80 on are letters.
+_NOT_LATIN = re.compile(r"[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]")
 _WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if chr(c).isalnum() or c >= 128 else 32 for c in range(256)
 )
 
 
 def _words(text: str) -> list[bytes]:
-    """Runs of letters, digits and characters beyond ASCII, with A-Z in lower case."""
+    """Runs of letters, digits and their marks by Unicode, with A-Z in lower case.
+
+    In scripts without spaces each letter is a word.
+    """
+    if _NOT_LATIN.search(text):
+        text = " ".join(_WORD.findall(text))
     return text.encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
 
 
