@@ -78,6 +78,32 @@ def test_trees_add_other_spellings_and_few_decoys():
     assert found >= 0.85 * 300 and false <= 0.03 * 300
 
 
+def test_long_rows_of_numbers_are_proposed():
+    numbers = [f"555-{i:03}-{4000 + i}" for i in range(200)]
+    for gap in (" ", " / "):
+        text = "call " + gap.join(numbers)
+        found = set(pii.candidates(text))
+        assert all(("phone", text.index(n), text.index(n) + len(n)) in found for n in numbers)
+        assert all(end - start <= 64 for _, start, end in found)
+    assert pii.candidates("1" * 200_000) == []
+    assert len(pii.candidates("1 " * 20_000)) < 20 * 20_000
+    local = "a.long-name" * 20
+    assert ("email", 3, 3 + len(local) + 14) in pii.candidates(f"to {local} (at) home.org")
+    assert ("email", 0, 18) in pii.candidates("me.at.home(at)x.de")
+    pii.candidates("x" + ".at" * 50_000 + "(at)")
+
+
+def test_numbers_in_long_rows_are_added():
+    rng = random.Random(5)
+    passages = [" ".join(rng.choices("the of and to in is that for was with at".split(), k=40)) for _ in range(900)]
+    detector = pii.train(passages)
+    numbers = [f"555-{rng.randint(200, 999)}-{rng.randint(1000, 9999)}" for _ in range(8)]
+    text = f"{passages[0]} phone {' '.join(numbers)} {passages[1]}"
+    spans = [s for s, _ in detector.added(text, pii.base_spans(text))]
+    covered = set().union(*(range(a, b) for _, a, b in spans)) if spans else set()
+    assert len(covered) >= 0.5 * sum(map(len, numbers))
+
+
 def test_band_keys_agree_as_often_as_the_sets_are_alike():
     rng = np.random.default_rng(1)
     same = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +21,8 @@ KINDS = ("email", "ip", "card", "phone")
 PASSAGES = 1_500
 PASSAGE_CHARS = 300
 PRECISION = 0.97
+#: Candidates of one text that are scored together.
+SCORED_AT_ONCE = 10_000
 
 Span = tuple[str, int, int]
 
@@ -31,6 +34,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_DIGITS = re.compile(r"[0-9]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 
@@ -83,6 +87,7 @@ _MAIL_REST = re.compile(rf"[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1
 _MAIL_SIGN = re.compile(r"@|[(\[{]at[)\]}]|\bdot\b", re.IGNORECASE)
 _NUMBER = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[ ().\-/\[\] _]{0,3}[0-9])++")
 _NUMBER_TAIL = 64
+MOST_DIGITS = 19
 
 # fixed values: words that tell what a number next to them is, in four languages
 _HINTS = {
@@ -99,33 +104,44 @@ _CONTEXT_WORD = re.compile(r"[^\W_]+(?:-[^\W_]+)?")
 def candidates(text: str) -> list[Span]:
     """Overlapping spans that could be personal data; recall comes before precision.
 
-    Every run of whole groups of a number of up to 64 code points is proposed, as
-    phone, card and address where its digits allow it.
+    Every run of whole groups of a number of up to 64 code points and 19 digits is
+    proposed, as phone, card and address where its digits allow it. A number of
+    any length is gone through in such windows.
     """
     out: list[Span] = []
     if _MAIL_SIGN.search(text):
+        last, last_start = 0, 0
         for m in _MAIL_AT.finditer(text):
-            low = max(0, m.start() - 64)
-            start = low + len(text[low : m.start()].rstrip(_LOCAL))
+            start = at = m.start()
+            while start > last and text[start - 1] in _LOCAL:
+                start -= 1
+            if start == last:
+                start = last_start  # nothing but local part up to the match before
+            last, last_start = at, start
             rest = _MAIL_REST.match(text, m.end())
-            if start < m.start() and rest:
+            if start < at and rest:
                 out.append(("email", start, rest.end()))
     if not _DIGIT.search(text):
         return out
     for m in _NUMBER.finditer(text):
-        if not 7 <= m.end() - m.start() <= _NUMBER_TAIL:
+        if m.end() - m.start() < 7:
             continue
-        groups = [(m.start() + g.start(), m.start() + g.end()) for g in re.finditer(r"[0-9]+", m[0])]
-        starts = [m.start(), *(a for a, _ in groups[1:])]
-        spans = {(a, b) for i, a in enumerate(starts) for _, b in groups[i:] if b - a >= 7}
-        for start, end in sorted(spans):
-            digits = sum(b - a for a, b in groups if start <= a and b <= end)
-            if 7 <= digits <= 15:
-                out.append(("phone", start, end))
-            if 13 <= digits <= 19:
-                out.append(("card", start, end))
-            if sum(start <= a < end for a, _ in groups) == 4 and digits <= 12:
-                out.append(("ip", start, end))
+        groups = [g.span() for g in _DIGITS.finditer(text, *m.span())]
+        for i in range(len(groups)):
+            start = groups[i][0] if i else m.start()
+            digits = 0
+            for n, (first, end) in enumerate(groups[i : i + MOST_DIGITS], 1):
+                digits += end - first
+                if digits > MOST_DIGITS or end - start > _NUMBER_TAIL:
+                    break
+                if end - start < 7:
+                    continue
+                if 7 <= digits <= 15:
+                    out.append(("phone", start, end))
+                if 13 <= digits:
+                    out.append(("card", start, end))
+                if n == 4 and digits <= 12:
+                    out.append(("ip", start, end))
     return out
 
 
@@ -153,6 +169,24 @@ def features(text: str, span: Span) -> list[float]:
     ]
 
 
+class _Spans:
+    """Places of a text that are taken, as ascending spans that do not meet."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def free(self, start: int, end: int) -> bool:
+        i = bisect_right(self.ends, start)
+        return i == len(self.ends) or self.starts[i] >= end
+
+    def add(self, start: int, end: int) -> None:
+        lo, hi = bisect_right(self.ends, start), bisect_left(self.starts, end)
+        if lo < hi:
+            start, end = min(start, self.starts[lo]), max(end, self.ends[hi - 1])
+        self.starts[lo:hi], self.ends[lo:hi] = [start], [end]
+
+
 @dataclass
 class Detector:
     model: Boosted
@@ -160,15 +194,20 @@ class Detector:
 
     def added(self, text: str, base: list[Span]) -> list[tuple[Span, float]]:
         """Candidates over their kind's limit that meet no base span, the likeliest first."""
-        found = [s for s in candidates(text) if not any(s[1] < b[2] and b[1] < s[2] for b in base)]
+        taken = _Spans()
+        for _, start, end in base:
+            taken.add(start, end)
+        found = [s for s in candidates(text) if taken.free(s[1], s[2])]
         if not found:
             return []
-        scores = self.model.probability(np.array([features(text, s) for s in found]))
         out: list[tuple[Span, float]] = []
-        for score, span in sorted(zip(scores.tolist(), found), key=lambda x: (-x[0], x[1])):
-            if score >= self.limits[span[0]] and not any(
-                span[1] < other[2] and other[1] < span[2] for other, _ in out
-            ):
+        scores: list[float] = []
+        for i in range(0, len(found), SCORED_AT_ONCE):
+            part = np.array([features(text, s) for s in found[i : i + SCORED_AT_ONCE]])
+            scores += self.model.probability(part).tolist()
+        for score, span in sorted(zip(scores, found), key=lambda x: (-x[0], x[1])):
+            if score >= self.limits[span[0]] and taken.free(span[1], span[2]):
+                taken.add(span[1], span[2])
                 out.append((span, score))
         return out
 
