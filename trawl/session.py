@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -34,6 +34,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 _scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+#: Catalog names of bucketed tables in a scratch folder.
+_tables: list[tuple[str, str]] = []
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -54,6 +56,9 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scratch.reset(token)
+        for path, table in [t for t in _tables if t[0] in paths]:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            _tables.remove((path, table))
         for path in paths:
             remove_folder(spark, path)
 
@@ -71,6 +76,26 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def bucketed(rows: DataFrame, name: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """``rows`` as a table in the shared folder, dealt into buckets by ``keys``.
+
+    Joins and groups by ``keys`` read it where it lies: only their other side is
+    moved. Without ``buckets`` there are as many as shuffle partitions. A task
+    opens one file per bucket it has rows of, so ``rows`` should come from a
+    shuffle by ``keys`` or hold few keys per task.
+    """
+    spark = rows.sparkSession
+    path = new_folder(spark, name)
+    if (paths := _scratch.get()) is not None:
+        paths.append(path)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"trawl_{uuid.uuid4().hex}"
+    rows.write.bucketBy(buckets, *keys).format("parquet").option("path", path).saveAsTable(table)
+    if paths is not None:
+        _tables.append((path, table))
+    return spark.table(table)
+
+
 def dealt(rows: DataFrame, partitions: int | None) -> DataFrame:
     """``rows`` over so many tasks; as they lie if ``partitions`` is None."""
     return rows if partitions is None else rows.repartition(partitions)
