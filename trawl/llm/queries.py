@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawl.llm.alignment import align
+from trawl.llm.bytepairs import decoded, encoded, little_endian, read_ranks
 from trawl.llm.decontaminate import contaminations
 from trawl.llm.fingerprints import edited_fingerprints
 from trawl.llm.html_text import extract
@@ -15,6 +17,7 @@ from trawl.llm.lines import without_spread_lines
 from trawl.llm.mixing import mix
 from trawl.llm.near_dup import near_duplicates
 from trawl.llm.pii import find_personal_data
+from trawl.llm.ranking import ranked
 from trawl.llm.substrings import repeated_passages
 from trawl.llm.tokens import token_counts
 
@@ -73,6 +76,32 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = [str(public_tokenizers.path(n)) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    found = align(_table(spark, sf_dir, "documents"), *files, groups=digest)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = read_ranks(str(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    ids = encoded(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(little_endian("ids"), 256).alias("ids_sha256"),
+        F.sha2(decoded("ids", ranks), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_pii": op2_pii,
@@ -84,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_alignment": op12_alignment,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -131,5 +163,32 @@ SELECT d.doc_id, count(*) FILTER (is_filled) AS n_lines,
        CASE WHEN count(*) FILTER (gone) = 0 THEN any_value(d.text)
             ELSE coalesce(string_agg(m.line, chr(10) ORDER BY pos) FILTER (NOT gone), '') END AS text
 FROM documents d JOIN marked m USING (doc_id) GROUP BY d.doc_id
+""",
+    "op11_ranked_search": r"""
+WITH held AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL),
+doc AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, terms, len(terms)::BIGINT AS n FROM held WHERE len(terms) > 0),
+corpus AS MATERIALIZED (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM doc),
+item AS MATERIALIZED (
+  SELECT item_id, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+  FROM benchmark),
+posting AS MATERIALIZED (
+  SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(terms) AS term FROM doc)
+  WHERE term IN (SELECT term FROM item) GROUP BY ALL),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM posting, corpus GROUP BY term, big_n),
+score AS (
+  SELECT item_id, row, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l))))::BIGINT AS score
+  FROM item JOIN weight USING (term) JOIN posting USING (term) JOIN doc USING (row), corpus
+  GROUP BY item_id, row, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM score WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
 """,
 }
