@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text in a block. A longer text is a block of its own.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def block_numbers() -> Iterator[int]:
