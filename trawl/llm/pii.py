@@ -66,7 +66,8 @@ def base_spans(text: str) -> list[Span]:
     if not _DIGIT.search(text):
         return out
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") or "0" for p in m[0].split(".")]
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = _NOT_DIGIT.sub("", m[0])
