@@ -33,31 +33,6 @@ def _key(side: str = "") -> Column:
     return F.coalesce(f"{side}doc_id", F.xxhash64(f"{side}text"))
 
 
-def line_places(docs: DataFrame) -> DataFrame:
-    """One row per line and neighbourhood: line, above, below, site.
-
-    Each neighbourhood counts as one site, the first by code point, as the SQL of
-    op8_line_dedup has it. So a block of lines that stands unchanged on many sites
-    counts its inner lines as one site; :func:`line_uses` does not.
-    """
-    codes = docs.select(
-        F.coalesce("source", F.lit(NO_SITE)).alias("site"), _codes("text").alias("codes")
-    )
-    at = F.transform(
-        "codes",
-        lambda code, i: F.struct(
-            code.alias("line"),
-            F.coalesce(F.get("codes", i - 1), F.lit(0)).alias("above"),
-            F.coalesce(F.get("codes", i + 1), F.lit(0)).alias("below"),
-        ),
-    )
-    return (
-        codes.select("site", F.explode(at).alias("at"))
-        .groupBy("at.line", "at.above", "at.below")
-        .agg(F.min("site").alias("site"))
-    )
-
-
 def line_uses(docs: DataFrame) -> DataFrame:
     """One row per document and line in it: line, site, text, a hash of the whole text."""
     return docs.select(
@@ -71,25 +46,22 @@ def spread_lines(
     docs: DataFrame,
     min_sites: int = MIN_SITES,
     band: float = BAND,
-    by_neighbours: bool = False,
 ) -> DataFrame:
     """Hashes of lines found on at least ``min_sites`` sites: line.
 
     All occurrences count. Copies of a whole text are one text, and a line must
     stand in ``min_sites`` different texts too, so that a text copied to many
-    sites keeps its own lines. With ``by_neighbours`` the sites are those of
-    :func:`line_places` instead.
+    sites keeps its own lines.
 
     HyperLogLog sketches of sites and texts per line merge by aggregation. Lines
     with an estimate near the threshold are counted exactly.
     """
-    uses = kept((line_places if by_neighbours else line_uses)(docs), "line-uses")
-    counted = ("site",) if by_neighbours else ("site", "text")
+    uses = kept(line_uses(docs), "line-uses")
+    counted = ("site", "text")
     sketches = uses.groupBy("line").agg(
         *[F.hll_sketch_agg(c, F.lit(SKETCH_LOG2)).alias(c) for c in counted]
     )
-    estimates = [F.hll_sketch_estimate(c) for c in counted]
-    least = F.least(*estimates) if len(estimates) > 1 else estimates[0]
+    least = F.least(*[F.hll_sketch_estimate(c) for c in counted])
     guessed = sketches.select("line", least.alias("sites")).where(
         F.col("sites") >= min_sites * (1 - band)
     )
@@ -108,7 +80,6 @@ def without_spread_lines(
     docs: DataFrame,
     min_sites: int = MIN_SITES,
     band: float = BAND,
-    by_neighbours: bool = False,
 ) -> tuple[DataFrame, str, str]:
     """Documents without their boilerplate lines, and two columns of counts.
 
@@ -123,9 +94,9 @@ def without_spread_lines(
     lines that are not blank, and of lines removed. Rows that share a doc_id may
     share lines looked up for them, which changes no result, as a line is
     removed everywhere. A hot line is looked up in pieces, and rows without id by
-    their texts.
+    their texts. An empty table gives no rows.
     """
-    marked = kept(spread_lines(docs, min_sites, band, by_neighbours), "spread-lines")
+    marked = kept(spread_lines(docs, min_sites, band), "spread-lines")
     lines = docs.select(_key().alias("hit_id"), F.explode(F.array_distinct(_codes("text"))).alias("line"))
     found = (
         lines.join(marked, "line", "left_semi")

@@ -59,10 +59,7 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # its SQL counts sites by neighbourhood
-    docs, total, removed = without_spread_lines(
-        _table(spark, sf_dir, "documents"), by_neighbours=True
-    )
+    docs, total, removed = without_spread_lines(_table(spark, sf_dir, "documents"))
     return docs.select(
         "doc_id", F.col(total).alias("n_lines"), F.col(removed).alias("n_removed"), "text"
     )
@@ -145,15 +142,12 @@ FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN lowest USING (doc_id)
 """,
     "op8_line_dedup": r"""
 WITH line AS (
-  SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+  SELECT doc_id, source, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
   FROM documents),
-filled AS (SELECT * FROM line WHERE NOT regexp_full_match(line, '[\x20\x09-\x0D]*')),
-place AS (
-  SELECT line, coalesce(source, chr(0)) AS site, lag(line) OVER w AS above, lead(line) OVER w AS below
-  FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-context AS (SELECT line, above, below, min(site) AS site FROM place GROUP BY line, above, below),
-spread AS (SELECT line FROM context GROUP BY line HAVING count(DISTINCT site) >= 5),
+spread AS (
+  SELECT line FROM line WHERE NOT regexp_full_match(line, '[\x20\x09-\x0D]*') GROUP BY line
+  HAVING count(DISTINCT coalesce(source, chr(0))) >= 5 AND count(DISTINCT text) >= 5),
 marked AS (
   SELECT doc_id, pos, line, line IN (SELECT line FROM spread) AS gone,
          NOT regexp_full_match(line, '[\x20\x09-\x0D]*') AS is_filled
