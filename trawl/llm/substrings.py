@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import xxhash
@@ -69,8 +70,8 @@ def chunk_ends(data: np.ndarray) -> list[int]:
     return ends
 
 
-def units(text: str) -> Iterator[tuple[int, int, int, int]]:
-    """Digest, first and stop code point, and words begun, of runs of two chunks."""
+def units(text: str) -> Iterator[tuple[int, int, int, int, int]]:
+    """Digest, first and stop code point, words begun before and in it, of runs of two chunks."""
     raw = text.encode("utf-8", "surrogatepass")
     data = np.frombuffer(raw, np.uint8)
     ends = chunk_ends(data)
@@ -91,6 +92,7 @@ def units(text: str) -> Iterator[tuple[int, int, int, int]]:
         joined.view(np.int64).tolist(),
         points[:-UNIT_CHUNKS].tolist(),
         points[UNIT_CHUNKS:].tolist(),
+        begins[:-UNIT_CHUNKS].tolist(),
         (begins[UNIT_CHUNKS:] - begins[:-UNIT_CHUNKS]).tolist(),
     )
 
@@ -100,38 +102,51 @@ def _who() -> Column:
     return F.coalesce("doc_id", F.xxhash64("text"))
 
 
-def _runs(found: list[dict]) -> list[dict]:
-    """Units that overlap, joined; ``words`` counts each word once."""
-    out: list[dict] = []
+def _runs(found: list[dict], min_words: int) -> Iterator[dict]:
+    """Passages of a text: first, stop, words, source.
+
+    Units that overlap form a run. One of ``min_words`` or more is cut where the
+    first document that has its units changes; neighbouring passages share the chunk
+    in which it does.
+    """
+    runs: list[list[dict]] = []
+    stop = 0
     for unit in sorted(found, key=lambda u: (u["first"], u["stop"])):
-        run = out[-1] if out else None
-        if run and unit["first"] < run["stop"]:
-            if unit["stop"] > run["stop"]:
-                # the second half of a unit is new; its words are shared out by length
-                new = unit["words"] * (unit["stop"] - run["stop"]) / (unit["stop"] - unit["first"])
-                run["words"] += new
-                run["stop"] = unit["stop"]
-            run["source"] = min(run["source"], unit["source"])
-        else:
-            out.append(dict(unit))
-    return out
+        if not runs or unit["first"] >= stop:
+            runs.append([])
+        runs[-1].append(unit)
+        stop = unit["stop"]
+    for run in runs:
+        if run[-1]["word"] + run[-1]["words"] - run[0]["word"] < min_words:
+            continue
+        for source, part in groupby(run, key=lambda u: u["source"]):
+            units_of = list(part)
+            first, last = units_of[0], units_of[-1]
+            yield {
+                "first": first["first"], "stop": last["stop"],
+                "words": last["word"] + last["words"] - first["word"], "source": source,
+            }
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Passages that more than one document has, a row per document and passage.
 
-    Returns doc_id, first and stop (code points), words, first_doc_id (the
-    smallest that shares any of it) and is_first (the row's own id is that one).
-    Texts are cut into chunks where their content says so, whole and whatever
+    Returns doc_id, first and stop (code points), words (that begin in it),
+    first_doc_id (the smallest that has it) and is_first (the row's own id is that
+    one). Texts are cut into chunks where their content says so, whole and whatever
     stands before; pairs of neighbouring chunks with one digest in two documents
-    or more are repeated, and overlapping ones are joined to a passage.
+    or more are repeated, and overlapping ones are joined to a run. Runs of
+    ``min_words`` or more are reported, cut where first_doc_id changes: of a run
+    whose halves come from two documents, each half is a passage of its own,
+    however short.
 
     Digests are counted before they are shuffled, and those that are over a
     10,000th of all units, at most 10,000, are looked up where the units lie; so a
     passage may stand in any part of the documents. Null and empty texts
     have no passage; passages inside one document, or in repeated rows of one
     doc_id, are not repeated. A document without id is known by its text's hash
-    and reported with a null id. Other columns are not read.
+    and reported with a null id. An empty table gives no rows. Other columns are
+    not read.
     """
     named = docs.select("doc_id", _who().alias("who"), "text").where(F.col("text").isNotNull())
 
@@ -146,9 +161,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     rows += [(name, ok, *u) for u in units(t)]
                 yield dict(zip(names, map(list, zip(*rows)))) if rows else {n: [] for n in names}
 
-    names = ("who", "known", "digest", "first", "stop", "words")
+    names = ("who", "known", "digest", "first", "stop", "word", "words")
     table = kept(
-        by_arrow(named, "who bigint, known boolean, digest bigint, first int, stop int, words smallint", cut),
+        by_arrow(named, "who bigint, known boolean, digest bigint, first int, stop int, word int, words smallint", cut),
         "units",
     )
     repeated = kept(
@@ -157,7 +172,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         ).where("source <> last").select("digest", "source", "times"),
         "repeated",
     )
-    packed = table.select("digest", "who", "known", F.struct("first", "stop", "words").alias("at"))
+    packed = table.select("digest", "who", "known", F.struct("first", "stop", "word", "words").alias("at"))
     # not more than HOT_DIGESTS rows can each be so large a part of all
     hot_from = table.count() / HOT_DIGESTS
     hot = F.broadcast(repeated.where(F.col("times") > hot_from).drop("times"))
@@ -166,21 +181,19 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         packed.join(hot, "digest", "left_anti").join(rest, "digest")
     )
     found = marked.groupBy("who", "known").agg(
-        F.collect_list(F.struct("at.first", "at.stop", "at.words", "source")).alias("units")
+        F.collect_list(F.struct("at.first", "at.stop", "at.word", "at.words", "source")).alias("units")
     )
 
     def join(batches):
         for batch in batches:
             out: dict[str, list] = {n: [] for n in passages}
             for who, known, found_units in zip(*[c.to_pylist() for c in batch.columns]):
-                for run in _runs(found_units):
-                    words = int(run["words"] + 0.5)
-                    if words >= min_words:
-                        for n, v in zip(passages, (
-                            who if known else None, run["first"], run["stop"], words,
-                            run["source"], run["source"] == who,
-                        )):
-                            out[n].append(v)
+                for run in _runs(found_units, min_words):
+                    for n, v in zip(passages, (
+                        who if known else None, run["first"], run["stop"], run["words"],
+                        run["source"], run["source"] == who,
+                    )):
+                        out[n].append(v)
             yield out
 
     passages = ("doc_id", "first", "stop", "words", "first_doc_id", "is_first")
@@ -194,7 +207,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def without_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """Texts without the passages that an earlier document has, by doc_id.
 
-    Rows without a passage, or without doc_id, stay as they are.
+    What is removed from a document stands in one with a smaller id, and there it
+    is kept or stands in a still smaller one: one copy of everything stays. Rows
+    without a passage, or without doc_id, stay as they are, null texts too; an empty
+    table gives no rows. Rows that share a doc_id are taken for rows of one text.
     """
     gone = passages.where(~F.col("is_first") & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("gone_id")).agg(
         F.sort_array(F.collect_set(F.struct("first", "stop"))).alias("gone_spans")
