@@ -17,6 +17,7 @@ from trawl.llm.common import (
 BANDS = 12
 BAND_ROWS = 3
 #: Rounds that compare a table's documents with one of them, before the exact rest.
+_WORD = r"[^\x20\x09-\x0D]"
 ROUNDS = 2
 #: Counters that order shingles by frequency; any order is right, rare ones first is fast.
 ORDER_BITS = 18
@@ -267,14 +268,15 @@ def _rest_pairs(
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 85, with_text_hash: bool = False
+    docs: DataFrame, percent: int = 85, with_group: bool = False
 ) -> DataFrame:
     """Components of documents whose shingle sets are at least ``percent`` alike.
 
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable) and
-    kept (it is that document); with ``with_text_hash`` also xxhash64 of the text. Words are cut at white space, with A-Z in lower
-    case; a set holds the distinct runs of five words, or the whole of a shorter
-    text. Texts with one set form one class. Classes that share a MinHash table
+    kept (it is that document); with ``with_group`` also text_hash (xxhash64) and
+    group, a name of the component that does not depend on ids and is null without
+    words. Words are cut at white space, with A-Z in lower case; a set holds the
+    distinct runs of five words, or the whole of a shorter text. Texts with one set form one class. Classes that share a MinHash table
     are candidates; every link is confirmed on the full sets.
 
     A table's classes are compared with one of them, in several rounds; tables
@@ -332,30 +334,44 @@ def near_duplicates(
     ids = classes.select("digest", "doc_id").join(labels.table.select("digest", "label"), "digest", "left")
     ids = ids.select("digest", "doc_id", F.coalesce("label", "digest").alias("label"))
     lowest = ids.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = kept(ids.join(lowest, "label").select("digest", "component_id"), "components")
+    named = kept(ids.join(lowest, "label").select("digest", "component_id", F.col("label").alias("group")), "components")
     drop_kept(spark, members, sets, labels.table)
     out = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
-        *(["text_hash"] if with_text_hash else []),
+        *(["text_hash", "group"] if with_group else []),
     )
 
 
 def first_of_each_group(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents that :func:`near_duplicates` keeps, with all their columns.
+    """One document of each group of :func:`near_duplicates`, with all its columns.
 
-    Rows of one doc_id and text stay or go together. A group in which no
-    document has an id keeps all of its documents.
+    It is the one with the smallest doc_id; a group without any id is represented by
+    the text of the smallest hash. Of rows that agree in id and text one is kept.
+    Texts without words, null ones too, are linked with nothing and all stay. An
+    empty table gives no rows.
     """
-    found = near_duplicates(docs, percent, with_text_hash=True).where("kept")
-    names = found.select(
-        F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")
-    ).distinct()
-    return docs.join(
-        names,
-        docs["doc_id"].eqNullSafe(names["kept_id"])
-        & F.xxhash64(docs["text"]).eqNullSafe(names["kept_hash"]),
-        "left_semi",
+    found = near_duplicates(docs, percent, with_group=True).where("kept AND n_shingles > 0")
+    texts = found.groupBy("group", "doc_id", "text_hash").agg(F.count("*").alias("times"))
+    names = kept(
+        texts.groupBy("group").agg(
+            F.min(F.struct(F.col("text_hash").alias("kept_hash"), "times", F.col("doc_id").alias("kept_id"))).alias("of")
+        ).select("of.*"),
+        "firsts",
+    )
+    held = docs.where(F.rlike(F.coalesce("text", F.lit("")), F.lit(_WORD)))
+
+    def rows_of(chosen: DataFrame) -> DataFrame:
+        same = held["doc_id"].eqNullSafe(chosen["kept_id"]) & (F.xxhash64(held["text"]) == chosen["kept_hash"])
+        return held.join(chosen, same, "left_semi")
+
+    # copies are combined before they are moved, so a hot group never meets in a task
+    copies = rows_of(names.where("times > 1")).groupBy("doc_id", F.xxhash64("text").alias("hash")).agg(
+        F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")
+    )
+    return (
+        rows_of(names.where("times = 1")).unionByName(copies.select("row.*"))
+        .unionByName(docs.where(~F.rlike(F.coalesce("text", F.lit("")), F.lit(_WORD))))
     )
