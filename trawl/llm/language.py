@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +24,13 @@ MAX_LANGUAGES = 1_000
 #: Windows that are run side by side.
 SIDE_BY_SIDE = 4096
 MIN_SCORE = 0.4
-_LETTER = re.compile(r"[^\W\d_]")
+# numbers such as ½ or Ⅷ are word characters too, so the rest is settled by category
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a text holds a letter: a code point of Unicode category L."""
+    return any(unicodedata.category(m[0])[0] == "L" for m in _MAYBE_LETTER.finditer(text or ""))
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -272,7 +279,7 @@ def _pooled(net: Network, texts: list[bytes]) -> np.ndarray:
 
 
 def _predictions(net: Network | None, texts: list[str | None]) -> Iterator[tuple[str, float]]:
-    lettered = [bool(t and _LETTER.search(t)) for t in texts]
+    lettered = [has_letter(t) for t in texts]
     data = [t.encode("utf-8", "ignore") for t, ok in zip(texts, lettered) if ok]
     pooled = iter(_pooled(net, data) if net and data else ())
     for ok in lettered:
