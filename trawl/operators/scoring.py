@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trawl.functions.blocks import TITLE_BOOST
 from trawl.functions.dates import display_date
 from trawl.operators.matching import (
     known_terms, on_postings, pages_with_all_phrases, postings_for,
@@ -12,11 +15,11 @@ from trawl.operators.matching import (
 from trawl.plans.index import Index
 from trawl.session import written
 
-# Fixed value.
-TITLE_BOOST = 1000
 # Scores that agree to this many significant digits tie: the order of a
 # floating-point sum must not decide a ranking.
 SCORE_DIGITS = 9
+# Relative distance of bounds that counts as none: wider than the digits compared.
+MARGIN = 1e-8
 
 
 def _weighed(index: Index, entries: DataFrame) -> DataFrame:
@@ -56,22 +59,60 @@ def _weights_on(index: Index, known: DataFrame, pages: DataFrame) -> DataFrame:
     return _weighed(index, on_postings(index, wanted, [*keys, "url"]))
 
 
-def scores(index: Index, parsed: DataFrame) -> DataFrame:
-    """``query_id, url, score`` of all matching pages, phrases enforced.
+@dataclass(frozen=True)
+class Matches:
+    """What a batch of queries matches, before any score; stored once, read by several steps.
 
-    A query with phrases starts from the pages that hold them all; only queries
-    without any look at every page that holds one of their words. The page size
-    and the query's counts are constant within a group, so any aggregate returns
-    them.
+    ``known`` are the queries' known words, ``holding`` the pages that hold all phrases of
+    the queries that have any, and ``blocks`` (:func:`query_blocks`) where the other
+    queries match. Indexes that are not stored have no blocks.
     """
+
+    known: DataFrame
+    holding: DataFrame | None
+    blocks: DataFrame | None
+
+
+def query_blocks(index: Index, known: DataFrame) -> DataFrame:
+    """Blocks of pages that hold a known word: ``query_id, block, upper, hits``.
+
+    No page of the block scores more than ``upper``; ``hits`` is how many of its pages
+    match. One row of the bounds stands for up to 64 postings.
+    """
+    keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
+    idf = F.log2(index.corpus.scalar() / F.col("document_frequency"))
+    rows = (
+        index.bounds.join(known.where(F.length("word") > 0), keys)
+        .select("query_id", "block", "pages", (F.col("top") * idf / F.col("n_known")).alias("part"))
+        .groupBy("query_id", "block")
+        .agg(F.sum("part").alias("upper"), F.bit_or("pages").alias("pages"))
+    )
+    if index.dead is not None:
+        gone = F.coalesce("gone", F.lit(0).cast("bigint"))
+        rows = rows.join(index.dead, "block", "left").withColumn(
+            "pages", F.col("pages").bitwiseAND(F.bitwise_not(gone))
+        )
+    hits = F.bit_count("pages").cast("bigint")
+    return rows.select("query_id", "block", "upper", hits.alias("hits")).where("hits > 0")
+
+
+def matches(index: Index, parsed: DataFrame) -> Matches:
     known = written(known_terms(index, parsed), "terms")
-    weights = _weighed(index, postings_for(index, known.where("n_phrases = 0")))
-    phrased = parsed.where(F.size("phrases") > 0)
+    holding = blocks = None
     if known.where("n_phrases > 0").take(1):
+        phrased = parsed.where(F.size("phrases") > 0)
         holding = written(pages_with_all_phrases(index, phrased), "holding")
-        free = known.where("n_phrases = 0").take(1)
-        on_pages = _weights_on(index, known.where("n_phrases > 0"), holding)
-        weights = weights.unionByName(on_pages) if free else on_pages
+    if index.bounds is not None:
+        blocks = written(query_blocks(index, known.where("n_phrases = 0")), "query-blocks")
+    return Matches(known, holding, blocks)
+
+
+def _summed(weights: DataFrame) -> DataFrame:
+    """``query_id, url, score`` from the weights of a page's words.
+
+    The page size and the query's counts are constant within a group, so any
+    aggregate returns them.
+    """
     totals = weights.groupBy("query_id", "url").agg(
         F.sum("weight").alias("total"),
         F.max("document_size").alias("document_size"),
@@ -84,6 +125,70 @@ def scores(index: Index, parsed: DataFrame) -> DataFrame:
     )
 
 
+def scores(index: Index, parsed: DataFrame, found: Matches | None = None) -> DataFrame:
+    """``query_id, url, score`` of all matching pages, phrases enforced.
+
+    A query with phrases starts from the pages that hold them all; only queries
+    without any look at every page that holds one of their words.
+    """
+    known = written(known_terms(index, parsed), "terms") if found is None else found.known
+    holding = None if found is None else found.holding
+    weights = _weighed(index, postings_for(index, known.where("n_phrases = 0")))
+    phrased = parsed.where(F.size("phrases") > 0)
+    if known.where("n_phrases > 0").take(1):
+        if holding is None:
+            holding = written(pages_with_all_phrases(index, phrased), "holding")
+        free = known.where("n_phrases = 0").take(1)
+        on_pages = _weights_on(index, known.where("n_phrases > 0"), holding)
+        weights = weights.unionByName(on_pages) if free else on_pages
+    return _summed(weights)
+
+
+def _scores_in(index: Index, known: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Scores of the matching pages in the given blocks (``query_id, block``) only."""
+    wanted = written(known.join(blocks, "query_id"), "wanted")
+    keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
+    return _summed(_weighed(index, on_postings(index, wanted, [*keys, "block"])))
+
+
+def contenders(index: Index, found: Matches, k: int) -> DataFrame:
+    """Scores of all pages that can be among the first ``k`` of their query.
+
+    The blocks with the highest bounds that hold ``k`` matches are scored first.
+    Their k-th score is a lower bound of the k-th score of all; blocks whose upper
+    bound is below it are never read. The margin is wider than the digits that rankings
+    compare (``SCORE_DIGITS``), so ties are all found.
+    """
+    known = found.known.where("n_phrases = 0")
+    by_bound = Window.partitionBy("query_id").orderBy(F.desc("upper"), "block")
+    # k blocks hold k matches or more; Spark keeps k rows per query and task
+    best = found.blocks.withColumn("_n", F.row_number().over(by_bound)).where(F.col("_n") <= k)
+    so_far = F.sum("hits").over(by_bound.rowsBetween(Window.unboundedPreceding, -1))
+    first = written(
+        best.withColumn("_before", F.coalesce(so_far, F.lit(0)))
+        .where(F.col("_before") < k).select("query_id", "block"),
+        "first-blocks",
+    )
+    scored = written(_scores_in(index, known, first), "first-hits")
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    least = (
+        scored.withColumn("_n", F.row_number().over(by_score)).where(F.col("_n") <= k)
+        .where(F.col("_n") == k)
+        .select("query_id", (F.col("score") * (1 - MARGIN)).alias("least"))
+    )
+    rest = (
+        found.blocks.join(first, ["query_id", "block"], "left_anti")
+        .join(written(least, "least"), "query_id", "left")
+        .where(F.col("least").isNull() | (F.col("upper") * (1 + MARGIN) >= F.col("least")))
+        .select("query_id", "block")
+    )
+    hits = scored.unionByName(_scores_in(index, known, rest))
+    if found.holding is None:
+        return hits
+    phrased = found.known.where("n_phrases > 0")
+    return hits.unionByName(_summed(_weights_on(index, phrased, found.holding)))
+
+
 def significant(value: Column, digits: int = SCORE_DIGITS) -> Column:
     """``value``, 0 or more, by exponent and rounded digits: comparable at any size."""
     power = F.floor(F.log10(value)).cast("int")
@@ -124,18 +229,22 @@ def all_results(index: Index, parsed: DataFrame) -> DataFrame:
 
 
 def top_results(
-    index: Index, parsed: DataFrame, k: int = 50, hits: DataFrame | None = None
+    index: Index, parsed: DataFrame, k: int = 50, found: Matches | None = None
 ) -> DataFrame:
     """The first ``k`` results per query with their 1-based ``position``.
 
-    ``hits`` are the scores of the queries, should they be at hand already.
+    ``found`` are the matches of the queries, should they be at hand already. Where the
+    index has bounds by block, only pages that can be among the first are scored
+    (:func:`contenders`).
 
     A query's k-th best score is found first; hits that reach it, ties included,
     then get their page details, which settle the order. Both rankings number
     rows without ties, so Spark keeps at most ``k`` rows per query and task
     before it shuffles, even for a query that every page matches equally well.
     """
-    hits = written(scores(index, parsed), "hits") if hits is None else hits
+    found = matches(index, parsed) if found is None else found
+    some = scores(index, parsed, found) if found.blocks is None else contenders(index, found, k)
+    hits = written(some, "hits")
     per_query = Window.partitionBy("query_id")
     thresholds = (
         hits.select("query_id", "score")
@@ -144,24 +253,33 @@ def top_results(
         .groupBy("query_id")
         .agg(F.min(significant(F.col("score"))).alias("_least"))
     )
-    contenders = (
+    reaching = (
         hits.join(written(thresholds, "thresholds"), "query_id")
         .where(significant(F.col("score")) >= F.col("_least"))
         .drop("_least")
     )
     return (
-        _described(index, contenders)
+        _described(index, reaching)
         .withColumn("position", F.row_number().over(per_query.orderBy(*rank_order())))
         .where(F.col("position") <= k)
     )
 
 
 def hit_counts(
-    index: Index, parsed: DataFrame, k: int = 50, hits: DataFrame | None = None
+    index: Index, parsed: DataFrame, k: int = 50, found: Matches | None = None
 ) -> DataFrame:
-    """Per query the number of matches and its label; 0 for a query without any."""
-    hits = scores(index, parsed) if hits is None else hits
-    counts = hits.groupBy("query_id").agg(F.count("*").alias("n"))
+    """Per query the number of matches and its label; 0 for a query without any.
+
+    Where the index has bounds by block, matches are counted by the bits of its pages,
+    or as the pages that hold all phrases, and nothing is scored.
+    """
+    found = matches(index, parsed) if found is None else found
+    if found.blocks is None:
+        counts = scores(index, parsed, found).groupBy("query_id").agg(F.count("*").alias("n"))
+    else:
+        counts = found.blocks.groupBy("query_id").agg(F.sum("hits").alias("n"))
+        if found.holding is not None:
+            counts = counts.unionByName(found.holding.groupBy("query_id").agg(F.count("*").alias("n")))
     total = F.coalesce("n", F.lit(0))
     label = F.when(total > k, F.concat(total.cast("string"), F.lit(f" ({k} shown)"))).otherwise(
         total.cast("string")

@@ -99,16 +99,16 @@ def analyse(
     )
 
 
-def postings_of(analysed: DataFrame) -> DataFrame:
-    """One row per (word, page), with what scoring needs from the page.
+def postings_of(analysed: DataFrame, *more: str) -> DataFrame:
+    """One row per (word, page), with what scoring needs from the page, and ``more`` of it.
 
     The outer form keeps Spark from adding a "has terms" filter below the
     generator, which would analyse every page a second time.
     """
     return analysed.select(
-        "url", "max_tf", "document_size", F.inline_outer("terms")
+        "url", "max_tf", "document_size", *more, F.inline_outer("terms")
     ).where("word IS NOT NULL").select(
-        "word", "url", "term_frequency", "in_title", "max_tf", "document_size", "positions"
+        "word", "url", "term_frequency", "in_title", "max_tf", "document_size", "positions", *more
     )
 
 
@@ -137,7 +137,8 @@ class Index:
     ``corpus`` one row with the number of documents. ``buckets`` is set when the
     tables come from a store, which files words and link targets by bucket. After
     pages were fetched again, ``all_postings`` has those of their old versions
-    too, by ``batch``, and ``replaced`` lists these as ``url, batch``.
+    too, by ``batch``, and ``replaced`` lists these as ``url, batch``. A store also has
+    ``bounds`` of its postings by block, and ``dead`` pages of these blocks.
     """
 
     documents: DataFrame
@@ -148,6 +149,8 @@ class Index:
     buckets: int | None = None
     all_postings: DataFrame | None = None
     replaced: DataFrame | None = None
+    bounds: DataFrame | None = None
+    dead: DataFrame | None = None
 
     @property
     def positions(self) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions.queries import parse
 from trawl.operators.linkgraph import PARENTS_PER_PART, parent_lists
-from trawl.operators.scoring import hit_counts, matched_keywords, scores, top_results
+from trawl.operators.scoring import Matches, hit_counts, matched_keywords, matches, top_results
 from trawl.plans.index import Index
 from trawl.session import written
 from trawl.sources.stopwords import default_stopwords
@@ -27,7 +27,7 @@ def search(
     parsed: DataFrame,
     k: int = SHOWN,
     per_part: int = PARENTS_PER_PART,
-    hits: DataFrame | None = None,
+    found: Matches | None = None,
 ) -> DataFrame:
     """The first ``k`` results per query with keywords, parents and children.
 
@@ -36,7 +36,7 @@ def search(
     page has more than about ``per_part`` parents continues in further rows:
     ``part`` numbers them from 0 and ``parts`` is their count.
     """
-    top = written(top_results(index, parsed, k, hits), "top")
+    top = written(top_results(index, parsed, k, found), "top")
     keywords = matched_keywords(index, parsed, top)
     parents = parent_lists(index, top.select("url").distinct(), per_part)
     children = index.documents.select(
@@ -76,11 +76,11 @@ def search_json(index: Index, parsed: DataFrame, k: int = SHOWN) -> DataFrame:
     """JSON lines per query: ``query_id, position, part, json``.
 
     Position 0 holds the number of results, or the error of a query without
-    any; the shown results follow. Scores feed both the counts and the ranking,
-    so they are written to the shared folder once.
+    any; the shown results follow. What the queries match feeds both the counts and
+    the ranking, so it is written to the shared folder once.
     """
-    hits = written(scores(index, parsed), "hits")
-    counts = hit_counts(index, parsed, k, hits)
+    found = matches(index, parsed)
+    counts = hit_counts(index, parsed, k, found)
     none_found = F.concat(F.lit("No results found for: "), F.coalesce("query", F.lit("")))
     heads = counts.select(
         "query_id",
@@ -90,7 +90,7 @@ def search_json(index: Index, parsed: DataFrame, k: int = SHOWN) -> DataFrame:
         .otherwise(_wrapped("total_results"))
         .alias("json"),
     )
-    results = search(index, parsed, k, hits=hits).join(counts.select("query_id", "total_results"), "query_id")
+    results = search(index, parsed, k, found=found).join(counts.select("query_id", "total_results"), "query_id")
     lines = results.select(
         "query_id",
         "position",

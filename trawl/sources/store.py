@@ -3,7 +3,8 @@
 Layout below the root::
 
     documents/batch=N             forward index, one row per page
-    postings/batch=N/word_bucket=B   sorted by word, url
+    postings/batch=N/word_bucket=B   sorted by word, block, url
+    bounds/batch=N/word_bucket=B     what a block of pages holds of a word
     keywords/batch=N/word_bucket=B   change of document frequency per word
     links/batch=N/child_bucket=B     edges by target
     superseded/batch=N            pages of earlier batches that batch N replaces
@@ -13,7 +14,9 @@ Layout below the root::
 The store numbers its batches itself, in the order they are committed. What a
 writer calls a batch is a source and an epoch of that source; both are kept with
 it, so the same one is never indexed twice and different writers never meet. One
-writer at a time may append. A batch only writes its own partitions, and the
+writer at a time may append. Pages of a batch are numbered in blocks of 64 of similar length,
+which share an upper bound of each word's weight and a bit per page
+(``functions.blocks``). A batch only writes its own partitions, and the
 next one overwrites what a failed attempt left. Readers drop superseded
 pages. ``Index`` objects read from a store see the batches committed so far.
 """
@@ -24,6 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawl.functions.blocks import block_bounds, dead_pages, in_blocks
 from trawl.functions.expr import bucket
 from trawl.plans.index import Index, links_of, postings_of
 from trawl.session import remove_folder
@@ -33,17 +37,18 @@ DOCUMENTS = (
     "url string, title string, document_size int, modified timestamp_ntz, "
     "fetched timestamp, max_tf int, document_chars bigint, "
     "terms array<struct<word: string, term_frequency: int, in_title: boolean, "
-    "positions: array<int>>>, children array<string>, batch bigint"
+    "positions: array<int>>>, children array<string>, block bigint, slot int, batch bigint"
 )
 POSTINGS = (
     "word string, url string, term_frequency int, in_title boolean, max_tf int, "
-    "document_size int, positions array<int>, batch bigint, word_bucket int"
+    "document_size int, positions array<int>, block bigint, batch bigint, word_bucket int"
 )
+BOUNDS = "word string, block bigint, top double, pages bigint, batch bigint, word_bucket int"
 KEYWORDS = "word string, document_frequency bigint, batch bigint, word_bucket int"
 LINKS = (
     "parent_url string, link_position int, child_url string, batch bigint, child_bucket int"
 )
-SUPERSEDED = "url string, superseded_batch bigint, batch bigint"
+SUPERSEDED = "url string, superseded_batch bigint, block bigint, slot int, batch bigint"
 BATCHES = "source string, epoch bigint, documents bigint, replaced bigint, batch bigint"
 SETTINGS = "buckets int"
 BUCKETS = 16
@@ -92,6 +97,7 @@ class IndexStore:
         gone = self._gone(rows)
         if gone is None:
             return table
+        gone = gone.select("url", "batch")
         return table.join(gone.withColumnRenamed("url", url), [url, "batch"], "left_anti")
 
     def _gone(self, rows: list) -> DataFrame | None:
@@ -100,7 +106,7 @@ class IndexStore:
         if not replacing:
             return None
         return self._read("superseded", SUPERSEDED, replacing).select(
-            "url", F.col("superseded_batch").alias("batch")
+            "url", F.col("superseded_batch").alias("batch"), "block", "slot"
         )
 
     def _documents(self, rows: list) -> DataFrame:
@@ -118,11 +124,14 @@ class IndexStore:
                 .where("document_frequency > 0")
             )
         n_documents = sum(row.documents - row.replaced for row in rows)
+        gone = self._gone(rows)
         return Index(
-            documents=self._documents(rows).drop("terms"),
+            documents=self._documents(rows).drop("terms", "block", "slot"),
             postings=self._live(self._read("postings", POSTINGS, ids), rows).drop("batch"),
             all_postings=self._read("postings", POSTINGS, ids),
-            replaced=self._gone(rows),
+            replaced=None if gone is None else gone.select("url", "batch"),
+            bounds=self._read("bounds", BOUNDS, ids).drop("batch"),
+            dead=None if gone is None else dead_pages(gone),
             keywords=keywords.drop("batch"),
             links=self._live(self._read("links", LINKS, ids), rows, "parent_url").drop("batch"),
             corpus=self.spark.range(1).select(F.lit(n_documents).alias("n_documents")),
@@ -131,7 +140,7 @@ class IndexStore:
 
     def forward(self) -> DataFrame:
         """Live forward-index rows, terms included."""
-        return self._documents(self.batches())
+        return self._documents(self.batches()).drop("block", "slot")
 
     # -- writing ---------------------------------------------------------
 
@@ -174,20 +183,23 @@ class IndexStore:
         batch = known[-1].batch + 1 if known else 0
         now = F.current_timestamp()
         first_seen = F.coalesce("fetched", now) if "fetched" in analysed.columns else now
-        fresh = analysed.drop("batch").withColumn("fetched", first_seen)
+        fresh = analysed.drop("batch", "block", "slot").withColumn("fetched", first_seen)
         replaced = 0
         if known:
             self._write(fresh, "staging", batch)
-            fresh = self._read("staging", DOCUMENTS, [batch]).drop("batch")
+            fresh = self._read("staging", DOCUMENTS, [batch]).drop("batch", "block", "slot")
             replaced = self._supersede(fresh, known, batch)
         if replaced:
             fresh = self._carry_over(fresh, known, batch)
-        self._write(fresh, "documents", batch)
+        self._write(in_blocks(fresh, batch), "documents", batch)
 
         forward = self._read("documents", DOCUMENTS, [batch]).drop("batch")
-        postings = postings_of(forward)
+        postings = postings_of(forward, "block", "slot")
+        self._write_bucketed(
+            postings.drop("slot"), "postings", batch, "word", "word_bucket", "word", "block", "url"
+        )
         self._write_bucketed(
-            postings, "postings", batch, "word", "word_bucket", "word", "url"
+            block_bounds(postings), "bounds", batch, "word", "word_bucket", "word", "block"
         )
         self._write_bucketed(
             links_of(forward), "links", batch, "child_url", "child_bucket",
@@ -217,7 +229,7 @@ class IndexStore:
         """Record which live pages the batch replaces; return how many."""
         gone = (
             self._documents(known)
-            .select("url", F.col("batch").alias("superseded_batch"))
+            .select("url", F.col("batch").alias("superseded_batch"), "block", "slot")
             .join(fresh.select("url"), "url", "left_semi")
         )
         self._write(gone, "superseded", batch)
