@@ -42,17 +42,27 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_pages(_table(spark, sf_dir, "pages"))
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Tasks that texts are dealt over: the driver's tables are files of one row group."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _fields(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    return page_fields(pages, _tasks(spark))
+
+
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_fields(
         _table(spark, sf_dir, "documents"),
         F.concat(F.lit("doc:"), F.col("doc_id").cast("string")),
         F.col("text"),
+        _tasks(spark),
     )
 
 
 def _page_index(spark: SparkSession, sf_dir: str) -> Index:
     """Index tables as views over the pages, nothing stored."""
-    return index_of(analyse(page_fields(_pages(spark, sf_dir))))
+    return index_of(analyse(_fields(spark, _pages(spark, sf_dir))))
 
 
 # -- stored indexes: built once per session and table folder, then searched --
@@ -63,7 +73,7 @@ _stores: dict[tuple[str, str, str], IndexStore] = {}
 def _store(spark: SparkSession, sf_dir: str, corpus: str) -> IndexStore:
     key = (spark.sparkContext.applicationId, sf_dir, corpus)
     if key not in _stores:
-        fields = page_fields(_pages(spark, sf_dir)) if corpus == "pages" else _texts(spark, sf_dir)
+        fields = _fields(spark, _pages(spark, sf_dir)) if corpus == "pages" else _texts(spark, sf_dir)
         store = IndexStore(spark, new_folder(spark, f"index-{corpus}"))
         store.append(analyse(fields), 0)
         _stores[key] = store
@@ -131,26 +141,26 @@ def _unknown_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_text(spark, sf_dir):
     text = F.concat_ws(" ", "title_text", "body_text")
-    return page_fields(_pages(spark, sf_dir)).select(
+    return _fields(spark, _pages(spark, sf_dir)).select(
         "url", F.trim(F.regexp_replace(text, r"\s+", " ")).alias("text")
     )
 
 
 def page_title(spark, sf_dir):
-    return page_fields(_pages(spark, sf_dir)).select(
+    return _fields(spark, _pages(spark, sf_dir)).select(
         "url", words.title_of(F.col("title_text")).alias("title")
     )
 
 
 def page_tokens(spark, sf_dir):
     tokens = F.concat(words.words_in(F.col("title_text")), words.words_in(F.col("body_text")))
-    return page_fields(_pages(spark, sf_dir)).select(
+    return _fields(spark, _pages(spark, sf_dir)).select(
         "url", F.posexplode_outer(tokens).alias("pos", "token")
     )
 
 
 def title_tokens(spark, sf_dir):
-    return page_fields(_pages(spark, sf_dir)).select(
+    return _fields(spark, _pages(spark, sf_dir)).select(
         "url", F.posexplode_outer(words.words_in(F.col("title_text"))).alias("pos", "token")
     )
 
@@ -261,7 +271,7 @@ def max_tf(spark, sf_dir):
 
 
 def doc_term_counts(spark, sf_dir):
-    rows = analyse(page_fields(_pages(spark, sf_dir)))
+    rows = analyse(_fields(spark, _pages(spark, sf_dir)))
     return rows.select("url", F.size("terms").alias("n_terms"))
 
 
@@ -475,16 +485,16 @@ def _posting_rows(index: Index) -> DataFrame:
 def incremental_index(spark, sf_dir):
     """All pages, then the pages fetched again as a second batch."""
     store = IndexStore(spark, new_folder(spark, "incremental"))
-    index_batch(store, _table(spark, sf_dir, "pages"), 0)
-    index_batch(store, _recrawl(spark, sf_dir), 1)
+    index_batch(store, _table(spark, sf_dir, "pages"), 0, partitions=_tasks(spark))
+    index_batch(store, _recrawl(spark, sf_dir), 1, partitions=_tasks(spark))
     return _posting_rows(store.load())
 
 
 def incremental_links(spark, sf_dir):
     """The edges that are left after the second batch."""
     store = IndexStore(spark, new_folder(spark, "incremental"))
-    index_batch(store, _table(spark, sf_dir, "pages"), 0)
-    index_batch(store, _recrawl(spark, sf_dir), 1)
+    index_batch(store, _table(spark, sf_dir, "pages"), 0, partitions=_tasks(spark))
+    index_batch(store, _recrawl(spark, sf_dir), 1, partitions=_tasks(spark))
     return store.load().links.select("parent_url", "child_url")
 
 

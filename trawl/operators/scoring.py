@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trawl.functions.blocks import TITLE_BOOST
+from trawl.functions.blocks import TITLE_BOOST, bits_of, page_bounds, pages_reaching
 from trawl.functions.dates import display_date
 from trawl.operators.matching import (
     known_terms, on_postings, pages_with_all_phrases, postings_for,
@@ -18,8 +18,11 @@ from trawl.session import written
 # Scores that agree to this many significant digits tie: the order of a
 # floating-point sum must not decide a ranking.
 SCORE_DIGITS = 9
-# Relative distance of bounds that counts as none: wider than the digits compared.
-MARGIN = 1e-8
+# Relative distance of bounds that counts as none: wider than the digits compared,
+# and than the rounding of bounds to floats.
+MARGIN = 1e-6
+# Matches that are scored for a first bound, as a multiple of the results wanted.
+AHEAD = 4
 
 
 def _weighed(index: Index, entries: DataFrame) -> DataFrame:
@@ -74,10 +77,11 @@ class Matches:
 
 
 def query_blocks(index: Index, known: DataFrame) -> DataFrame:
-    """Blocks of pages that hold a known word: ``query_id, block, upper, hits``.
+    """Blocks of pages that hold a known word: ``query_id, block, bounds, upper, pages, hits``.
 
-    No page of the block scores more than ``upper``; ``hits`` is how many of its pages
-    match. One row of the bounds stands for up to 64 postings.
+    No page of the block scores more than its entry in ``bounds``, the highest of which
+    is ``upper``; ``pages`` are the bits of those that match and ``hits`` is their number.
+    A query's words are few, so what is gathered of them per block is bounded.
     """
     keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
     idf = F.log2(index.corpus.scalar() / F.col("document_frequency"))
@@ -85,15 +89,19 @@ def query_blocks(index: Index, known: DataFrame) -> DataFrame:
         index.bounds.join(known.where(F.length("word") > 0), keys)
         .select("query_id", "block", "pages", (F.col("top") * idf / F.col("n_known")).alias("part"))
         .groupBy("query_id", "block")
-        .agg(F.sum("part").alias("upper"), F.bit_or("pages").alias("pages"))
+        .agg(F.collect_list(F.struct("part", "pages")).alias("parts"), F.bit_or("pages").alias("pages"))
+        .join(index.blocks, "block")
+        .select("query_id", "block", page_bounds(F.col("parts"), F.col("sizes")).alias("bounds"), "pages")
     )
     if index.dead is not None:
         gone = F.coalesce("gone", F.lit(0).cast("bigint"))
         rows = rows.join(index.dead, "block", "left").withColumn(
             "pages", F.col("pages").bitwiseAND(F.bitwise_not(gone))
         )
-    hits = F.bit_count("pages").cast("bigint")
-    return rows.select("query_id", "block", "upper", hits.alias("hits")).where("hits > 0")
+    return rows.select(
+        "query_id", "block", "bounds", F.array_max("bounds").alias("upper"), "pages",
+        F.bit_count("pages").cast("bigint").alias("hits"),
+    ).where("hits > 0")
 
 
 def matches(index: Index, parsed: DataFrame) -> Matches:
@@ -144,30 +152,37 @@ def scores(index: Index, parsed: DataFrame, found: Matches | None = None) -> Dat
     return _summed(weights)
 
 
-def _scores_in(index: Index, known: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Scores of the matching pages in the given blocks (``query_id, block``) only."""
-    wanted = written(known.join(blocks, "query_id"), "wanted")
+def _scores_in(index: Index, known: DataFrame, pages: DataFrame) -> DataFrame:
+    """Scores of the given pages (``query_id, block, pages`` as bits) only."""
+    wanted = written(known.join(pages, "query_id"), "wanted")
     keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
-    return _summed(_weighed(index, on_postings(index, wanted, [*keys, "block"])))
+    entries = on_postings(index, wanted, [*keys, "block"]).where(F.getbit("pages", F.col("slot")) == 1)
+    return _summed(_weighed(index, entries))
 
 
 def contenders(index: Index, found: Matches, k: int) -> DataFrame:
     """Scores of all pages that can be among the first ``k`` of their query.
 
-    The blocks with the highest bounds that hold ``k`` matches are scored first.
-    Their k-th score is a lower bound of the k-th score of all; blocks whose upper
-    bound is below it are never read. The margin is wider than the digits that rankings
-    compare (``SCORE_DIGITS``), so ties are all found.
+    Of the ``k`` blocks with the highest bounds, the ``AHEAD * k`` pages with the highest
+    bounds are scored first. Their k-th score is a lower bound of the k-th score of
+    all; pages whose own bound is below it are never scored, and blocks without any
+    other page are never looked up. The margin is wider than the digits that
+    rankings compare (``SCORE_DIGITS``), so ties are all found.
     """
     known = found.known.where("n_phrases = 0")
     by_bound = Window.partitionBy("query_id").orderBy(F.desc("upper"), "block")
     # k blocks hold k matches or more; Spark keeps k rows per query and task
     best = found.blocks.withColumn("_n", F.row_number().over(by_bound)).where(F.col("_n") <= k)
-    so_far = F.sum("hits").over(by_bound.rowsBetween(Window.unboundedPreceding, -1))
+    alike = (
+        best.select("query_id", "block", "pages", F.posexplode("bounds").alias("slot", "bound"))
+        .where(F.getbit("pages", F.col("slot")) == 1)
+        .withColumn("_n", F.row_number().over(
+            Window.partitionBy("query_id").orderBy(F.desc("bound"), "block", "slot")
+        ))
+        .where(F.col("_n") <= AHEAD * k)
+    )
     first = written(
-        best.withColumn("_before", F.coalesce(so_far, F.lit(0)))
-        .where(F.col("_before") < k).select("query_id", "block"),
-        "first-blocks",
+        alike.groupBy("query_id", "block").agg(bits_of(F.collect_list("slot")).alias("pages")), "first-pages"
     )
     scored = written(_scores_in(index, known, first), "first-hits")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"))
@@ -176,11 +191,18 @@ def contenders(index: Index, found: Matches, k: int) -> DataFrame:
         .where(F.col("_n") == k)
         .select("query_id", (F.col("score") * (1 - MARGIN)).alias("least"))
     )
+    done = first.select("query_id", "block", F.col("pages").alias("done"))
+    reaching = F.when(F.col("least").isNull(), F.col("pages")).otherwise(
+        pages_reaching(F.col("bounds"), F.col("least")).bitwiseAND(F.col("pages"))
+    )
     rest = (
-        found.blocks.join(first, ["query_id", "block"], "left_anti")
-        .join(written(least, "least"), "query_id", "left")
-        .where(F.col("least").isNull() | (F.col("upper") * (1 + MARGIN) >= F.col("least")))
-        .select("query_id", "block")
+        found.blocks.join(written(least, "least"), "query_id", "left")
+        .where(F.col("least").isNull() | (F.col("upper") >= F.col("least")))
+        .join(done, ["query_id", "block"], "left")
+        .select("query_id", "block", reaching.bitwiseAND(
+            F.bitwise_not(F.coalesce("done", F.lit(0).cast("bigint")))
+        ).alias("pages"))
+        .where("pages <> 0")
     )
     hits = scored.unionByName(_scores_in(index, known, rest))
     if found.holding is None:

@@ -138,7 +138,8 @@ class Index:
     tables come from a store, which files words and link targets by bucket. After
     pages were fetched again, ``all_postings`` has those of their old versions
     too, by ``batch``, and ``replaced`` lists these as ``url, batch``. A store also has
-    ``bounds`` of its postings by block, and ``dead`` pages of these blocks.
+    ``bounds`` of its postings by block, and lengths (``blocks``) and ``dead`` pages of
+    these blocks.
     """
 
     documents: DataFrame
@@ -150,6 +151,7 @@ class Index:
     all_postings: DataFrame | None = None
     replaced: DataFrame | None = None
     bounds: DataFrame | None = None
+    blocks: DataFrame | None = None
     dead: DataFrame | None = None
 
     @property

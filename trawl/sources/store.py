@@ -5,6 +5,7 @@ Layout below the root::
     documents/batch=N             forward index, one row per page
     postings/batch=N/word_bucket=B   sorted by word, block, url
     bounds/batch=N/word_bucket=B     what a block of pages holds of a word
+    blocks/batch=N                lengths of the pages of a block
     keywords/batch=N/word_bucket=B   change of document frequency per word
     links/batch=N/child_bucket=B     edges by target
     superseded/batch=N            pages of earlier batches that batch N replaces
@@ -14,7 +15,7 @@ Layout below the root::
 The store numbers its batches itself, in the order they are committed. What a
 writer calls a batch is a source and an epoch of that source; both are kept with
 it, so the same one is never indexed twice and different writers never meet. One
-writer at a time may append. Pages of a batch are numbered in blocks of 64 of similar length,
+writer at a time may append. Pages of a batch are numbered in blocks of similar length,
 which share an upper bound of each word's weight and a bit per page
 (``functions.blocks``). A batch only writes its own partitions, and the
 next one overwrites what a failed attempt left. Readers drop superseded
@@ -27,7 +28,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.functions.blocks import block_bounds, dead_pages, in_blocks
+from trawl.functions.blocks import block_bounds, block_sizes, dead_pages, in_blocks
 from trawl.functions.expr import bucket
 from trawl.plans.index import Index, links_of, postings_of
 from trawl.session import remove_folder
@@ -41,13 +42,14 @@ DOCUMENTS = (
 )
 POSTINGS = (
     "word string, url string, term_frequency int, in_title boolean, max_tf int, "
-    "document_size int, positions array<int>, block bigint, batch bigint, word_bucket int"
+    "document_size int, positions array<int>, block bigint, slot int, batch bigint, word_bucket int"
 )
 BOUNDS = "word string, block bigint, top double, pages bigint, batch bigint, word_bucket int"
 KEYWORDS = "word string, document_frequency bigint, batch bigint, word_bucket int"
 LINKS = (
     "parent_url string, link_position int, child_url string, batch bigint, child_bucket int"
 )
+BLOCKS = "block bigint, sizes array<int>, batch bigint"
 SUPERSEDED = "url string, superseded_batch bigint, block bigint, slot int, batch bigint"
 BATCHES = "source string, epoch bigint, documents bigint, replaced bigint, batch bigint"
 SETTINGS = "buckets int"
@@ -131,6 +133,7 @@ class IndexStore:
             all_postings=self._read("postings", POSTINGS, ids),
             replaced=None if gone is None else gone.select("url", "batch"),
             bounds=self._read("bounds", BOUNDS, ids).drop("batch"),
+            blocks=self._read("blocks", BLOCKS, ids).drop("batch"),
             dead=None if gone is None else dead_pages(gone),
             keywords=keywords.drop("batch"),
             links=self._live(self._read("links", LINKS, ids), rows, "parent_url").drop("batch"),
@@ -196,11 +199,12 @@ class IndexStore:
         forward = self._read("documents", DOCUMENTS, [batch]).drop("batch")
         postings = postings_of(forward, "block", "slot")
         self._write_bucketed(
-            postings.drop("slot"), "postings", batch, "word", "word_bucket", "word", "block", "url"
+            postings, "postings", batch, "word", "word_bucket", "word", "block", "url"
         )
         self._write_bucketed(
             block_bounds(postings), "bounds", batch, "word", "word_bucket", "word", "block"
         )
+        self._write(block_sizes(forward), "blocks", batch)
         self._write_bucketed(
             links_of(forward), "links", batch, "child_url", "child_bucket",
             "child_url", "parent_url",
