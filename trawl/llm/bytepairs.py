@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 from pathlib import Path
 
@@ -25,6 +26,8 @@ PACK_CHARS = 1 << 20
 #: Bytes of all texts for each part of the corpus's words. A part is one task's
 #: dictionary, so the number of parts grows with the texts.
 BYTES_PER_PART = 16 << 20
+ENCODED = "doc_id bigint, ids array<int>"
+DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -197,8 +200,8 @@ def _encoded_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return dealt.sortWithinPartitions("part").mapInArrow(job, schema)
 
 
-def _reassembled(texts: pa.Table, words: pa.Table) -> pa.Table:
-    """Ids of the texts of a block, from its words' numbers and ids."""
+def _reassembled(texts: pa.Table, words: pa.Table) -> Iterator[pa.Table]:
+    """Ids of the texts of a block, from its words' numbers and ids, a pack at a time."""
     parts = words.to_pylist()
     codes = [np.cumsum(unpacked(p["codes"], p["n"]), dtype=np.uint32).astype(np.int64) for p in parts]
     sizes = [unpacked(p["sizes"], p["n"]).astype(np.int64) for p in parts]
@@ -209,23 +212,23 @@ def _reassembled(texts: pa.Table, words: pa.Table) -> pa.Table:
     size[code] = np.concatenate(sizes or [np.zeros(0, np.int64)])
     in_order = size[code]
     first[code] = np.cumsum(in_order) - in_order
-    doc_ids, ids = [], []
     for row in texts.to_pylist():
         counts = np.array(row["counts"], np.int64)
         numbers = unpacked(row["codes"], int(counts.sum()))
         lengths = size[numbers]
         values = flat[ranges(first[numbers], lengths)].view(np.int32)
         ends = np.append(0, np.cumsum(lengths))[np.append(0, np.cumsum(counts))]
-        doc_ids += row["doc_ids"]
-        ids.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values)))
-    kind = pa.list_(pa.int32())
-    return pa.table({
-        "doc_id": pa.array(doc_ids, pa.int64()),
-        "ids": pa.chunked_array(ids, kind) if ids else pa.array([], kind),
-    })
+        ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
+        yield pa.table({"doc_id": pa.array(row["doc_ids"], pa.int64()), "ids": ids})
 
 
-def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+def encoded(
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    then: Callable[[pa.Table], pa.Table] | None = None,
+    schema: str = ENCODED,
+) -> DataFrame:
     """Ids of every whole text: doc_id, ids.
 
     ``pattern`` cuts a text into words, in the syntax of the ``regex`` library, and
@@ -239,6 +242,9 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame
     hot, and a task's dictionary is bounded as the number of its parts grows
     with the texts (``BYTES_PER_PART``).
 
+    ``then`` turns tables of doc_id and ids into tables of ``schema`` where they are
+    made, so that what only needs a figure of the ids does not send them on.
+
     Null and empty texts have no ids. A repeated row, with or without doc_id, gives a
     repeated row; an empty table gives none; other columns are not read. A text
     longer than ``BLOCK_BYTES`` is a block of its own.
@@ -247,10 +253,16 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame
     table = bucketed(_blocks(docs, pattern, 1 + size // BYTES_PER_PART), "blocks", ["block"])
     texts = table.where("doc_ids IS NOT NULL").select("block", "doc_ids", "counts", "codes")
     words = _encoded_words(table.where("part IS NOT NULL"), ranks)
-    return (
-        texts.groupBy("block").cogroup(words.groupBy("block"))
-        .applyInArrow(_reassembled, "doc_id bigint, ids array<int>")
-    )
+    kinds = docs.sparkSession.createDataFrame([], schema).schema
+
+    def finish(texts: pa.Table, words: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        wanted = to_arrow_schema(kinds)
+        done = [t if then is None else then(t) for t in _reassembled(texts, words)]
+        return pa.concat_tables([t.select(wanted.names).cast(wanted) for t in done] or [wanted.empty_table()])
+
+    return texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(finish, schema)
 
 
 def token_bytes(ranks: dict[bytes, int]) -> pa.Array:
@@ -266,6 +278,27 @@ def _stops(rows: pa.Array) -> np.ndarray:
     return np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)))
 
 
+def _cut(data, ends: np.ndarray, rows: pa.Array) -> list[bytes | None]:
+    data, edges = memoryview(data), ends.tolist()
+    alive = rows.is_valid().to_pylist()
+    return [bytes(data[a:b]) if ok else None for a, b, ok in zip(edges, edges[1:], alive)]
+
+
+def token_texts(rows: pa.Array, table: pa.Array) -> list[bytes | None]:
+    """What each list of ids stands for: ids joined to :func:`token_bytes`, all at once."""
+    found = table.take(rows.flatten())
+    if found.null_count:
+        raise ValueError("an id is not in the vocabulary")
+    _, offsets, data = found.buffers()
+    return _cut(data or b"", np.frombuffer(offsets, np.int64, len(found) + 1)[_stops(rows)], rows)
+
+
+def id_bytes(rows: pa.Array) -> list[bytes | None]:
+    """Each list of ids as unsigned 32-bit integers, low byte first."""
+    data = rows.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+    return _cut(data, 4 * _stops(rows), rows)
+
+
 def decoded(ids: Column | str, ranks: dict[bytes, int]) -> Column:
     """Bytes that a column of id arrays stands for.
 
@@ -277,26 +310,23 @@ def decoded(ids: Column | str, ranks: dict[bytes, int]) -> Column:
 
     @F.arrow_udf("binary")
     def join(rows: pa.Array) -> pa.Array:
-        found = table.take(rows.flatten())
-        if found.null_count:
-            raise ValueError("an id is not in the vocabulary")
-        _, offsets, data = found.buffers()
-        ends = np.frombuffer(offsets, np.int64, len(found) + 1)[_stops(rows)].tolist()
-        data = memoryview(data) if data else b""
-        alive = rows.is_valid().to_pylist()
-        return pa.array([bytes(data[a:b]) if ok else None for a, b, ok in zip(ends, ends[1:], alive)], pa.binary())
+        return pa.array(token_texts(rows, table), pa.binary())
 
     return join(ids)
 
 
-def little_endian(ids: Column | str) -> Column:
-    """Arrays of ids as unsigned 32-bit integers, low byte first; null stays null."""
-
-    @F.arrow_udf("binary")
-    def join(rows: pa.Array) -> pa.Array:
-        data = rows.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-        ends = (4 * _stops(rows)).tolist()
-        alive = rows.is_valid().to_pylist()
-        return pa.array([data[a:b] if ok else None for a, b, ok in zip(ends, ends[1:], alive)], pa.binary())
+def digests(ranks: dict[bytes, int]) -> Callable[[pa.Table], pa.Table]:
+    """For ``then`` of :func:`encoded`: counts, and SHA-256 of the ids and of what they decode to."""
+    table = token_bytes(ranks)
 
-    return join(ids)
+    def of(rows: pa.Table) -> pa.Table:
+        ids = rows["ids"].combine_chunks()
+        ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
+        return pa.table({
+            "doc_id": rows["doc_id"],
+            "n_tokens": pc.list_value_length(ids).cast(pa.int64()),
+            "ids_sha256": [hashlib.sha256(x).hexdigest() for x in id_bytes(ids)],
+            "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in token_texts(ids, table)],
+        })
+
+    return of

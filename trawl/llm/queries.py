@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.llm.alignment import align
-from trawl.llm.bytepairs import decoded, encoded, little_endian, read_ranks
+from trawl.llm.bytepairs import DIGESTS, digests, encoded, read_ranks
 from trawl.llm.decontaminate import contaminations
 from trawl.llm.fingerprints import edited_fingerprints
 from trawl.llm.html_text import extract
@@ -90,13 +90,8 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = read_ranks(str(public_tokenizers.path("byte_bpe_50k.tiktoken")))
-    ids = encoded(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return ids.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(little_endian("ids"), 256).alias("ids_sha256"),
-        F.sha2(decoded("ids", ranks), 256).alias("decoded_sha256"),
-    )
+    docs = _table(spark, sf_dir, "documents")
+    return encoded(docs, ranks, public_tokenizers.PATTERN, digests(ranks), DIGESTS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
