@@ -25,8 +25,16 @@ CHROME_WORDS = (
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "consent cookie cookies disqus footer gdpr masthead menu modal nav navbar navigation newsletter "
     "notice notices paywall popup promo promoted related share sharing sidebar social sponsor "
-    "sponsored subscribe toolbar widget"
+    "sponsored subscribe toolbar"
 )
+#: Chrome only as a whole name: page builders call every part of a text a widget.
+CHROME_NAMES = "widget"
+#: What may follow the noun in a name: the shape or place of the thing, or its parts.
+SHAPES = (
+    "area articles bar block bottom box button buttons col column container content form inner item "
+    "items left link links list outer posts right section signup slot stories top unit wrap wrapper"
+)
+COMMENT_WORDS = "comment comments reply replies"
 #: What a class or id says after one of these is about the element, not its name.
 MODIFIERS = (
     "has with without no not non is hide hides hidden show shows enable enables enabled disable "
@@ -42,19 +50,36 @@ BLOCK = (
 )
 #: Bits of rows held at once to read a common subsequence from.
 ROW_BITS = 1 << 22
+#: Open blocks other than these keep an open li, dd or dt from being ended by a later one,
+#: and open holders keep a p.
+NO_WALL = "address div p li dd dt"
+HOLDERS = "button caption td th"
+#: Elements with optional end tags: which open ones a start tag ends, up to the table.
+TABLE_ENDS = {
+    "td": "td th", "th": "td th", "tr": "td th tr", "tbody": "td th tr thead tbody tfoot",
+    "thead": "td th tr thead tbody tfoot", "tfoot": "td th tr thead tbody tfoot",
+}
+HEADINGS = "h1 h2 h3 h4 h5 h6"
 VOID = "area base br col embed hr img input link meta param source track wbr"
 
 _RAW, _CHROME, _BLOCK, _VOID = (frozenset(x.split()) for x in (RAW, CHROME, BLOCK, VOID))
 _RAW_TO_END, _WHOLE = frozenset(RAW_TO_END.split()), frozenset(WHOLE.split())
 _MODIFIERS = frozenset(MODIFIERS.split())
 _WORDS, _ROLES = frozenset(CHROME_WORDS.split()), frozenset(CHROME_ROLES.split())
+_NAMES, _SHAPES = frozenset(CHROME_NAMES.split()), frozenset(SHAPES.split())
+_COMMENT = frozenset(COMMENT_WORDS.split())
+_WALLS, _HOLDERS = _BLOCK - frozenset(NO_WALL.split()), frozenset(HOLDERS.split())
+_TABLE_ENDS = {name: ends.split() for name, ends in TABLE_ENDS.items()}
+_HEADINGS = frozenset(HEADINGS.split())
+#: A quote opens a value behind an equals sign only; a stray one is part of the tag.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _NAME_WORD = re.compile(r"[a-z0-9]+")
-_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE) for name in _RAW}
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE) for name in _RAW}
 
 
 @dataclass
@@ -72,43 +97,105 @@ class Page:
     whole: list[bool] = field(default_factory=list)
 
 
-def _names_chrome(value: str) -> bool:
-    """Whether a name in a class or id is that of a menu and so on.
+def _names(value: str, nouns: frozenset[str]) -> bool:
+    """Whether a name in a class or id says that the element is one of ``nouns``.
 
-    ``site-footer`` and ``sidebar--left`` are; ``has-sidebar``, ``no-menu`` and
-    ``page--sidebar`` are not, as they tell something about another thing.
+    The noun is the last word of a name, shapes and numbers behind it apart. So
+    ``site-footer``, ``sidebar--left`` and ``comment-list`` are menus and the like;
+    ``share-price`` and ``has-sidebar`` are not, as they tell of another thing.
     """
     for name in value.split():
-        for word in _NAME_WORD.findall(name.split("--")[0]):
-            if word in _MODIFIERS:
-                break
-            if word in _WORDS:
-                return True
+        words = _NAME_WORD.findall(name.split("--")[0])
+        if not words or any(word in _MODIFIERS for word in words):
+            continue
+        while len(words) > 1 and (words[-1] in _SHAPES or words[-1].isdigit()):
+            words.pop()
+        if words[-1] in nouns or name in _NAMES and nouns is _WORDS:
+            return True
     return False
 
 
-def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
+def _is_chrome(name: str, attributes: str, in_article: bool, after_article: bool) -> bool:
     if name in _CHROME or name == CHROME_UNLESS_ARTICLE and not in_article:
         return True
     if name in ("html", "body", "main") or "=" not in attributes:
         return False
+    # an article is a reader's comment only beside or inside another one
+    nouns = _WORDS if name not in _WHOLE else _COMMENT if after_article else frozenset()
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
-        if key.lower() in ("class", "id") and name not in _WHOLE and _names_chrome(value):
+        if key.lower() in ("class", "id") and _names(value, nouns):
             return True
         if key.lower() == "role" and value in _ROLES:
             return True
     return False
 
 
+class _Open:
+    """Names of the open elements, and the depths at which each name is open."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self.walls: list[int] = []
+        self.holders: list[int] = []
+        self.stacks: dict[str, list[list[int]]] = {}
+
+    def _stacks(self, name: str) -> list[list[int]]:
+        kinds = ((_BLOCK, self.blocks), (_WALLS, self.walls), (_HOLDERS, self.holders))
+        return [self.at[name], *(stack for kind, stack in kinds if name in kind)]
+
+    def push(self, name: str) -> None:
+        if name not in self.stacks:
+            self.stacks[name] = self._stacks(name)
+        for stack in self.stacks[name]:
+            stack.append(len(self.names))
+        self.names.append(name)
+
+    def pop(self) -> None:
+        name = self.names.pop()
+        for stack in self.stacks[name]:
+            stack.pop()
+
+    def last(self, name: str, within: list[int] = []) -> int | None:
+        """Depth of the innermost ``name`` inside the last element of ``within``."""
+        at = self.at[name]
+        return at[-1] if at and (not within or at[-1] > within[-1]) else None
+
+    def ended_by_start(self, name: str) -> int | None:
+        """Depth from which elements end as a block called ``name`` begins; None if none do.
+
+        End tags of p, li, dd, dt, cells and rows are optional in HTML.
+        """
+        ends = [self.last("p", self.holders)] if self.at["p"] else []
+        if name == "li":
+            ends.append(self.last("li", self.walls))
+        elif name in ("dd", "dt"):
+            ends += [self.last("dd", self.walls), self.last("dt", self.walls)]
+        elif name in _TABLE_ENDS:
+            ends += [self.last(x, self.at["table"]) for x in _TABLE_ENDS[name]]
+        elif name in _HEADINGS and self.names and self.names[-1] in _HEADINGS:
+            ends.append(len(self.names) - 1)
+        return min((depth for depth in ends if depth is not None), default=None)
+
+    def ended_by_end(self, name: str) -> int | None:
+        """Depth from which elements end at an end tag; one of a block ends what it holds."""
+        if name in _HEADINGS:
+            return max((d for x in _HEADINGS if (d := self.last(x)) is not None), default=None)
+        return self.last(name, [] if name in _BLOCK else self.blocks)
+
+
 def parse(page: str) -> Page:
     """Lines of a page: white space inside a block is one space, blocks are lines."""
     out = Page()
     text: list[str] = []
-    open_names: list[str] = []
+    opened = _Open()
     chrome_at: list[int] = []  # depths of open elements that hold no main text
     article_at: list[int] = []
     main_at: list[int] = []  # no element around a main is a menu or the like
+    marks: list[int] = []  # all of these
+    endless: set[str] = set()  # raw elements of which no end tag follows any more
 
     def in_chrome() -> bool:
         return bool(chrome_at) and chrome_at[-1] > (main_at[-1] if main_at else -1)
@@ -125,6 +212,17 @@ def parse(page: str) -> Page:
             out.other.append(line)
             out.chrome.append(in_chrome())
 
+    def close(from_depth: int | None) -> None:
+        while from_depth is not None and len(opened.names) > from_depth:
+            depth = len(opened.names) - 1
+            if marks and marks[-1] == depth:
+                end_line()
+                marks.pop()
+                for stack in (chrome_at, article_at, main_at):
+                    if stack and stack[-1] == depth:
+                        stack.pop()
+            opened.pop()
+
     at = 0
     while (token := _TOKEN.search(page, at)) is not None:
         text.append(page[at : token.start()])
@@ -135,29 +233,15 @@ def parse(page: str) -> Page:
         if token[1]:
             if name in _BLOCK:
                 end_line()
-            if name in open_names:
-                while open_names:
-                    depth = len(open_names) - 1
-                    closed = open_names[-1]
-                    if (chrome_at and chrome_at[-1] == depth) or (
-                        article_at and article_at[-1] == depth
-                    ):
-                        end_line()
-                        if chrome_at and chrome_at[-1] == depth:
-                            chrome_at.pop()
-                        if article_at and article_at[-1] == depth:
-                            article_at.pop()
-                        if main_at and main_at[-1] == depth:
-                            main_at.pop()
-                    open_names.pop()
-                    if closed == name:
-                        break
+            close(opened.ended_by_end(name))
             continue
         if name in _RAW:
-            if not token[3].endswith("/"):
+            if not token[3].endswith("/") and name not in endless:
                 end = _RAW_END[name].search(page, at)
                 if end or name in _RAW_TO_END:
                     at = end.end() if end else len(page)
+                else:
+                    endless.add(name)
             continue
         if name == "head":
             continue  # what it holds is raw or empty; it ends where other content begins
@@ -165,17 +249,18 @@ def parse(page: str) -> Page:
             text.append(" ")
         if name in _BLOCK:
             end_line()
+            close(opened.ended_by_start(name))
         if name in _VOID or token[3].endswith("/"):
             continue
-        depth = len(open_names)
-        if name in ("p", "li", "b", "i") and open_names and open_names[-1] == name:
-            continue  # an unclosed one of the same name: this one takes its place
-        open_names.append(name)
-        if _is_chrome(name, token[3], bool(article_at)):
+        depth = len(opened.names)
+        opened.push(name)
+        if _is_chrome(name, token[3], bool(article_at), out.marked):
             end_line()
+            marks.append(depth)
             chrome_at.append(depth)
         elif name in ("article", "main") or 'role="main"' in token[3]:
             end_line()
+            marks.append(depth)
             article_at.append(depth)
             if name != "article":
                 main_at.append(depth)
@@ -302,7 +387,8 @@ def extract(pages: DataFrame) -> DataFrame:
     parsed where they lie; their lines are dealt by ranges of (host, path), so
     one host may hold any part of the pages.
 
-    A null or empty html has an empty text. A page without url, or alone on its
+    A null or empty html has an empty text, an empty table gives no rows, and a page
+    of any length takes time in step with it. A page without url, or alone on its
     host, has no neighbour and only loses what the markup names. Repeated rows
     are neighbours of each other and give repeated rows. Other columns are not
     read.
