@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import WordHashes, by_arrow, mixed
+from trawl.llm.common import WordHashes, by_arrow, kept, mixed
 
 #: Edits allowed, as a share of an item's words.
 MAX_EDITS = 0.2
@@ -24,8 +24,12 @@ MAX_EDITS = 0.2
 REPEATS = 48
 SAMPLED = 3
 SEED_WORDS = 3
-#: Items compared in one pass over the documents; more items take more passes.
+#: Runs of words that at most so many items hold always lay windows; of the others
+#: only as many as the allowed edits can not all destroy.
+RARE_RUN = 2
+#: Items, and bytes of them, compared in one pass over the documents; more take more passes.
 ITEMS_PER_PASS = 20_000
+BYTES_PER_PASS = 32 << 20
 PACK_BYTES = 8 << 20
 _SLOT_BITS = 22
 _KEY = np.uint64(0x9E3779B97F4A7C15)
@@ -143,27 +147,35 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str | None]], max_edits: float = MAX_EDITS):
         hashes = WordHashes()
-        found = [(i, hashes.of(_words(t or ""))) for i, t in rows]
-        found = [(i, w) for i, w in found if len(w)]
-        self.ids = [i for i, _ in found]
+        same: dict[bytes, tuple[list[int], np.ndarray]] = {}  # items of the same words
+        for i, t in rows:
+            words = hashes.of(_words(t or ""))
+            if len(words):
+                same.setdefault(words.tobytes(), ([], words))[0].append(i)
+        found = list(same.values())
+        self.ids = [ids for ids, _ in found]
         self.hashes = WordHashes()
         self.words = [w for _, w in found]
         self.edits = [allowed_edits(len(w), max_edits) for w in self.words]
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.embeddings = {n: Embedding(n) for n in sorted(set(self.sizes.tolist()))}
-        self.keys = np.stack(
-            [
-                self.embeddings[len(w)].keys(w, np.zeros(1, np.int64), np.array([len(w)]))[:, 0]
-                for w in self.words
-            ]
-            or [np.zeros(REPEATS, np.uint64)]
-        )
+        self.keys = np.zeros((len(self.words), REPEATS), np.uint64)
+        for n, embedding in self.embeddings.items():
+            own = np.flatnonzero(self.sizes == n)
+            for i in range(0, len(own), 4096):
+                part = own[i : i + 4096]
+                stops = np.arange(1, len(part) + 1) * n
+                joined = np.concatenate([self.words[x] for x in part])
+                self.keys[part] = embedding.keys(joined, stops - n, stops).T
         self.seeds = {}
         for size in range(1, SEED_WORDS + 1):
+            own = [i for i, w in enumerate(self.words) if min(len(w), SEED_WORDS) == size]
+            runs = [_runs(self.words[i], size) for i in own]
+            held = _item_counts(runs)
             parts = [
-                (h, i, at)
-                for i, w in enumerate(self.words) if min(len(w), SEED_WORDS) == size
-                for at, h in enumerate(_runs(w, size).tolist())
+                (int(run[at]), i, at)
+                for i, run, counts in zip(own, runs, held)
+                for at in seed_places(counts, size, self.edits[i] + 1)
             ]
             if parts:
                 parts.sort()
@@ -177,8 +189,8 @@ class Items:
     def windows(self, words: np.ndarray, owner: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Items and starts of the windows to look at.
 
-        A text within the allowed edits of an item shares a run of three words
-        with it; each shared run lays an item-sized window over the text.
+        A text within the allowed edits of an item shares one of its seeds
+        (:func:`seed_places`); each shared one lays an item-sized window over the text.
         """
         items, starts = [], []
         for size, (code, item, offset, slots) in self.seeds.items():
@@ -234,6 +246,50 @@ class Items:
                 yield text, x, *best
 
 
+def _item_counts(runs: list[np.ndarray]) -> list[np.ndarray]:
+    """How many items hold each run."""
+    if not runs:
+        return []
+    every = np.concatenate([np.unique(r) for r in runs])
+    code, count = np.unique(every, return_counts=True)
+    return [count[np.searchsorted(code, r)] for r in runs]
+
+
+def _apart(places: np.ndarray, size: int) -> list[int]:
+    """As many of the places as possible whose runs share no word."""
+    out: list[int] = []
+    for at in places.tolist():
+        if not out or at >= out[-1] + size:
+            out.append(at)
+    return out
+
+
+def seed_places(held: np.ndarray, size: int, needed: int) -> list[int]:
+    """Places of an item's runs that lay windows; ``held`` tells how many items hold each.
+
+    An edit destroys one of several runs that share no word, so of ``needed`` =
+    edits + 1 such runs one is left. They are the rarest that there are: a phrase
+    that many items begin with is not among them, as long as the rest of the
+    item has enough runs. Rare runs all count, as more windows find more. An item
+    too short for ``needed`` runs is sought by all it has.
+    """
+    rare = np.flatnonzero(held <= RARE_RUN)
+    if len(_apart(rare, size)) >= needed:
+        return rare.tolist()
+    if len(_apart(np.arange(len(held)), size)) < needed:
+        return list(range(len(held)))
+    limits = np.unique(held[held > RARE_RUN])
+    lo, hi = 0, len(limits) - 1
+    while lo < hi:
+        mid = (lo + hi) // 2
+        if len(_apart(np.flatnonzero(held <= limits[mid]), size)) >= needed:
+            hi = mid
+        else:
+            lo = mid + 1
+    chosen = _apart(np.flatnonzero(held <= limits[lo]), size)
+    return sorted({*rare.tolist(), *chosen})
+
+
 def _runs(words: np.ndarray, size: int) -> np.ndarray:
     """A hash of each run of exactly ``size`` words."""
     count = max(0, len(words) - size + 1)
@@ -253,14 +309,19 @@ def _packs(texts: pa.Array) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def item_blocks(benchmark: DataFrame, max_edits: float) -> Iterator[Items]:
-    """The benchmark in blocks that the driver can hold and send along."""
+def item_blocks(benchmark: DataFrame, max_edits: float) -> Iterator[tuple[Items, bool]]:
+    """The benchmark in blocks that the driver can hold and send along, and which is the last.
+
+    What is done with a block but the last should be written before the next one
+    is asked for, so that one block at a time is held.
+    """
     slim = benchmark.select("item_id", "text")
-    blocks = max(1, -(-slim.count() // ITEMS_PER_PASS))
+    count, size = slim.agg(F.count("*"), F.sum(F.octet_length("text").cast("bigint"))).first()
+    blocks = max(1, -(-count // ITEMS_PER_PASS), -(-(size or 0) // BYTES_PER_PASS))
     for block in range(blocks):
         part = slim.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         rows = sorted(part.collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"] or ""))
-        yield Items([(r["item_id"], r["text"]) for r in rows], max_edits)
+        yield Items([(r["item_id"], r["text"]) for r in rows], max_edits), block == blocks - 1
 
 
 def contaminations(
@@ -290,7 +351,8 @@ def contaminations(
                     for i, x, edits, first, stop in items.find(texts):
                         spans = [m.span() for m in _WORD.finditer(texts[i])]
                         lo, hi = spans[first][0], spans[stop - 1][1]
-                        rows.append((ids[i], items.ids[x], len(items.words[x]), edits, lo, hi, texts[i][lo:hi]))
+                        part = len(items.words[x]), edits, lo, hi, texts[i][lo:hi]
+                        rows += [(ids[i], item, *part) for item in items.ids[x]]
                     yield dict(zip(names, map(list, zip(*rows)))) if rows else {n: [] for n in names}
 
         return by_arrow(docs.select("doc_id", "text"), schema, job)
@@ -300,13 +362,22 @@ def contaminations(
         "first bigint, stop bigint, passage string"
     )
     names = [f.split()[0] for f in schema.split(", ")]
-    return reduce(DataFrame.unionByName, map(search, item_blocks(benchmark, max_edits)))
+    found = [
+        search(items) if last else kept(search(items), "finds")
+        for items, last in item_blocks(benchmark, max_edits)
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def decontaminated(
     docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS
 ) -> DataFrame:
-    """The documents, all their columns, in which :func:`contaminations` finds nothing."""
+    """The documents, all their columns, in which :func:`contaminations` finds nothing.
+
+    Null and empty texts, and repeated rows, stay as they are; an empty table of
+    documents or items takes nothing away. A benchmark of several blocks writes the
+    documents left after each but the last.
+    """
     at = docs.columns.index("text")
 
     def without(rows: DataFrame, items: Items) -> DataFrame:
@@ -322,4 +393,6 @@ def decontaminated(
 
         return rows.mapInArrow(job, rows.schema)
 
-    return reduce(without, item_blocks(benchmark, max_edits), docs)
+    for items, last in item_blocks(benchmark, max_edits):
+        docs = without(docs, items) if last else kept(without(docs, items), "clean")
+    return docs
