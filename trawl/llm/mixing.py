@@ -16,12 +16,15 @@ from trawl.llm.common import fresh, kept, words_column
 #: A list of sources beyond this is refused, as their plan is made by the driver.
 MAX_SOURCES = 100_000
 SHARD_WORDS = 1 << 18
+SHARDS_PER_RANGE = 4096
+#: Repeated rows numbered at once.
+COPIES_AT_ONCE = 1 << 14
 BLOCK_WORDS = 256
 #: The smallest target holds at least so many blocks.
 LEAST_BLOCKS = 200
 
 _MIX = (
-    "doc_id bigint, source string, size bigint, source_size bigint, target double, "
+    "doc_id bigint, source string, size bigint, text_hash bigint, source_size bigint, target double, "
     "taken bigint, passes int, picks array<struct<first:bigint,stop:bigint>>"
 )
 
@@ -116,7 +119,8 @@ def _shard(table: pa.Table, block: int, most: int, seed: int) -> Iterator[dict]:
     """
     ids = table["doc_id"].fill_null(-1).to_numpy()
     size = table["size"].to_numpy()
-    order = np.lexsort((size, ids, table["draw"].to_numpy()))
+    ties = [table[c].to_numpy() for c in ("copy", "text_hash")]
+    order = np.lexsort((*ties, size, ids, table["draw"].to_numpy()))
     stop = np.cumsum(size[order])
     start = stop - size[order]
     words = int(stop[-1])
@@ -139,6 +143,19 @@ def _shard(table: pa.Table, block: int, most: int, seed: int) -> Iterator[dict]:
         yield {"row": row, "taken": taken, "passes": passes, "picks": picks}
 
 
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """``rows``, equal ones numbered from 0 in a column copy.
+
+    Equal rows are counted and laid out again from their number, so that copies
+    beyond any number stay apart and no task gathers them.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+    step = F.lit(COPIES_AT_ONCE).cast("bigint")
+    chunks = counted.withColumn("at", F.explode(F.expr(f"sequence(0L, copies - 1, {COPIES_AT_ONCE}L)")))
+    last = F.least(F.col("copies"), F.col("at") + step) - 1
+    return chunks.withColumn("copy", F.explode(F.sequence("at", last))).drop("copies", "at")
+
+
 def shard_quotas(dealt: DataFrame) -> DataFrame:
     """Blocks of every shard: quota_rank, quota_shard, quota.
 
@@ -150,10 +167,17 @@ def shard_quotas(dealt: DataFrame) -> DataFrame:
         F.sum("size").alias("words"), F.first("source_size").alias("whole"),
         F.first("blocks").alias("blocks"),
     )
-    up_to = F.sum("words").over(
-        Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    # sums up to a range of shards, then within it, so no task holds a source's shards
+    each = each.withColumn("range", F.floor(F.col("shard") / SHARDS_PER_RANGE))
+    by_range, by_shard = (
+        Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        for *keys, order in (("rank", "range"), ("rank", "range", "shard"))
+    )
+    ranges = each.groupBy("rank", "range").agg(F.sum("words").alias("words")).select(
+        "rank", "range", (F.sum("words").over(by_range) - F.col("words")).alias("before")
     )
-    each = each.withColumn("up_to", up_to)
+    each = each.withColumn("up_to", F.sum("words").over(by_shard)).join(ranges, ["rank", "range"])
+    each = each.withColumn("up_to", F.col("up_to") + F.col("before"))
     stop, start = (
         F.floor(F.col("blocks") * (words / F.col("whole")) + 0.5)
         for words in (F.col("up_to"), F.col("up_to") - F.col("words"))
@@ -180,16 +204,20 @@ def mix(
     whole passes first, then blocks drawn at random for the rest. So one source
     may hold any part of the input, and a task sees one shard.
 
-    Returns doc_id, source, size, source_size, target, taken (words, repeats
+    Returns doc_id, source, size, text_hash, source_size, target, taken (words, repeats
     counted), passes (times the whole text is taken) and picks (word ranges taken
     once more). No document is taken more than ``most`` times its size. The same
     rows give the same mix, whatever their order and partitions.
 
     A text without words, or null, is never taken. Null doc_ids are allowed. A
-    repeated row counts and is drawn on its own. An empty table gives no rows.
+    repeated row counts and is drawn on its own, also of rows without id: the hash that
+    deals them reads id, text and the number of the copy. An empty table gives no rows.
     Columns other than doc_id, text and source are not read.
     """
-    sized = kept(docs.select("doc_id", "source", words_column("text").alias("size")), "sizes")
+    sized = docs.select(
+        "doc_id", "source", words_column("text").alias("size"), F.xxhash64("text").alias("text_hash")
+    )
+    sized = kept(numbered_copies(sized), "sizes")
     block, shares = source_shares(sized, weights, most)
     plan = docs.sparkSession.createDataFrame(
         [
@@ -202,8 +230,9 @@ def mix(
     planned = sized.alias("d").join(
         F.broadcast(plan.alias("p")), F.col("d.source").eqNullSafe(F.col("p.source"))
     ).select("d.*", "rank", "source_size", "target", "blocks", "shards")
-    draw = F.xxhash64(F.lit(seed), "doc_id", "size")
-    shard = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), "shards")
+    row = ("doc_id", "size", "text_hash", "copy")
+    draw = F.xxhash64(F.lit(seed), *row)
+    shard = F.pmod(F.xxhash64(F.lit(seed + 1), *row), "shards")
     dealt = planned.where("size > 0").select(
         "*", draw.alias("draw"), shard.alias("shard")
     ).drop("shards")
@@ -220,14 +249,14 @@ def mix(
             [r["picks"] for r in rows],
             pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())])),
         )
-        out = out.select(["doc_id", "source", "size", "source_size", "target"])
+        out = out.select(["doc_id", "source", "size", "text_hash", "source_size", "target"])
         out = out.append_column("taken", pa.array([r["taken"] for r in rows], pa.int64()))
         out = out.append_column("passes", pa.array([r["passes"] for r in rows], pa.int32()))
         return out.append_column("picks", picks)
 
     taken = dealt.groupBy("rank", "shard").applyInArrow(laid, _MIX)
     none = planned.where("size = 0").select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "source", "size", "text_hash", "source_size", "target",
         F.lit(0).cast("bigint").alias("taken"), F.lit(0).alias("passes"),
         F.array().cast("array<struct<first:bigint,stop:bigint>>").alias("picks"),
     )
@@ -239,22 +268,22 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Adds mix_taken, mix_passes and mix_picks of :func:`mix` to the columns of
     ``docs`` (with ``_`` behind a name that ``docs`` has already). Documents
-    nothing is taken of are left out. Rows that agree in id, source and size
-    share the largest of their counts.
+    nothing is taken of are left out. Rows that agree in id, source and text
+    share the largest of their counts. An empty table gives no rows.
     """
     chosen = mix(docs, **options).where("taken > 0")
-    keys = [F.col(c).alias(f"mix_{c}") for c in ("doc_id", "source", "size")]
+    keys = [F.col(c).alias(f"mix_{c}") for c in ("doc_id", "source", "text_hash")]
     best = chosen.groupBy(*keys).agg(
         F.max(F.struct("taken", "passes", "picks")).alias("best")
     )
     own = {c: fresh(docs, f"mix_{c}") for c in ("taken", "passes", "picks")}
-    size = fresh(docs, "mix_words")
-    left = docs.withColumn(size, words_column("text")).alias("d")
+    hashed = fresh(docs, "mix_text_hash")
+    left = docs.withColumn(hashed, F.xxhash64("text")).alias("d")
     joined = left.join(
         best.alias("m"),
         F.col("d.doc_id").eqNullSafe(F.col("m.mix_doc_id"))
         & F.col("d.source").eqNullSafe(F.col("m.mix_source"))
-        & (F.col(f"d.{size}") == F.col("m.mix_size")),
+        & (F.col(f"d.{hashed}") == F.col("m.mix_text_hash")),
     )
     return joined.select(
         *[F.col(f"d.`{c}`") for c in docs.columns],
