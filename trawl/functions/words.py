@@ -70,8 +70,35 @@ def terms_of(kept_stems: Column, title_marks: Column) -> Column:
         F.array_distinct(title_marks), "word -> named_struct('word', word, 'position', -1)"
     )
     body = each(kept_stems, "(word, i) -> named_struct('word', word, 'position', i)")
-    entries = let(
-        F.array_sort(F.concat(marks, body)),
+    return _grouped(F.concat(marks, body))
+
+
+def _grouped(entries: Column) -> Column:
+    """Terms of ``(word, position)`` entries."""
+    columns = let(
+        F.array_sort(entries),
         "sorted -> named_struct('words', sorted.word, 'positions', sorted.position)",
     )
-    return let(entries, f"e -> {_TERMS}")
+    return let(columns, f"e -> {_TERMS}")
+
+
+#: Neighbours among entries ``e`` sorted by position, as entries of word pairs.
+_NEIGHBOURS = (
+    "array_compact(transform(e, (x, i) -> if(get(e, i + 1).position = x.position + 1, "
+    "named_struct('word', concat(x.word, ' ', get(e, i + 1).word), 'position', x.position), null)))"
+)
+
+
+def pairs_of(terms: Column, frequent: Collection[str]) -> Column:
+    """Pairs of neighbouring stems that are both ``frequent``, as terms.
+
+    A pair's word is its stems with a space between, which no stem holds; its
+    positions are those of the first stem.
+    """
+    if not frequent:
+        frequent = [""]  # no stem is empty
+    chosen = F.filter(terms, lambda term: term["word"].isin(*frequent))
+    places = each(
+        chosen, "t -> transform(t.positions, p -> named_struct('position', p, 'word', t.word))"
+    )
+    return _grouped(let(F.array_sort(F.flatten(places)), f"e -> {_NEIGHBOURS}"))

@@ -60,10 +60,59 @@ def known_phrase_words(index: Index, parsed: DataFrame) -> DataFrame:
             "is_rarest",
             F.row_number().over(in_phrase.orderBy("document_frequency", "raw_offset")) == 1,
         )
-        .drop("raw_offset", "document_frequency")
+        .drop("raw_offset")
     )
 
 
+def phrase_units(index: Index, words: DataFrame) -> DataFrame:
+    """Known words of phrases, neighbours replaced by pairs where the index has them.
+
+    A run of frequent words is covered by as few pairs as can be: two words make one,
+    and a last odd word shares a pair with the one before. ``is_rarest`` and ``n_words``
+    then tell of units; ``is_pair`` says where their postings are. A pair counts as
+    frequent as the rarer of its words.
+    """
+    if index.pairs is None or not index.frequent:
+        return words.withColumn("is_pair", F.lit(False)).drop("document_frequency")
+    in_phrase = Window.partitionBy("query_id", "phrase_id")
+    in_order = in_phrase.orderBy("offset")
+    frequent = words.withColumn("_often", F.col("word").isin(*index.frequent))
+    # words of a run have the same difference of offset and rank among frequent ones
+    run = F.col("offset") - F.sum(F.col("_often").cast("int")).over(in_order)
+    in_run = Window.partitionBy("query_id", "phrase_id", "_often", "_run")
+    runs = (
+        frequent.withColumn("_run", run)
+        .withColumn("_size", F.count("*").over(in_run))
+        .withColumn("_at", F.row_number().over(in_run.orderBy("offset")) - 1)
+        .withColumn("_next", F.lead("word").over(in_order))
+        .withColumn("_next_count", F.lead("document_frequency").over(in_order))
+    )
+    paired = F.col("_often") & (F.col("_size") > 1)
+    opens = (F.col("_at") < F.col("_size") - 1) & (
+        (F.col("_at") % 2 == 0) | (F.col("_at") == F.col("_size") - 2) & (F.col("_size") % 2 == 1)
+    )
+    units = (
+        runs.withColumn("is_pair", paired)
+        .where(~F.col("is_pair") | opens)
+        .withColumn("word", F.when(paired, F.concat_ws(" ", "word", "_next")).otherwise(F.col("word")))
+        .withColumn(
+            "document_frequency",
+            F.when(paired, F.least("document_frequency", "_next_count")).otherwise(
+                F.col("document_frequency")
+            ),
+        )
+        .withColumn("n_words", F.count("*").over(in_phrase))
+        .withColumn(
+            "is_rarest",
+            F.row_number().over(in_phrase.orderBy("document_frequency", F.desc("is_pair"), "offset")) == 1,
+        )
+        .drop("document_frequency", "_often", "_run", "_size", "_at", "_next", "_next_count")
+    )
+    if index.buckets is None:
+        return units
+    return units.withColumn("word_bucket", bucket(F.col("word"), index.buckets))
+
+
 def postings_for(index: Index, words: DataFrame) -> DataFrame:
     """Join query words to their postings.
 
@@ -84,11 +133,25 @@ def on_postings(index: Index, words: DataFrame, keys: list[str]) -> DataFrame:
     asked = words.where(F.length("word") > 0)
     if index.replaced is None:
         return index.postings.join(asked, keys)
-    found = index.all_postings.join(asked, keys)
+    return _newest(index, index.all_postings.join(asked, keys))
+
+
+def _newest(index: Index, found: DataFrame) -> DataFrame:
     old = index.replaced.withColumn("_old", F.lit(True))
     return found.join(old, ["url", "batch"], "left").where("_old IS NULL").drop("batch", "_old")
 
 
+def _on_units(index: Index, units: DataFrame, keys: list[str], *columns) -> DataFrame:
+    """``columns`` of postings and of pairs that ``units`` ask for by ``keys``."""
+    found = on_postings(index, units.where("NOT is_pair"), keys).select(*columns)
+    if index.pairs is None:
+        return found
+    pairs = index.pairs.join(units.where("is_pair AND length(word) > 0"), keys)
+    if index.replaced is not None:
+        pairs = _newest(index, pairs)
+    return found.unionByName(pairs.select(*columns))
+
+
 def phrase_hits(index: Index, parsed: DataFrame) -> DataFrame:
     """Pages that hold a phrase: ``query_id, phrase_id, url``.
 
@@ -96,25 +159,27 @@ def phrase_hits(index: Index, parsed: DataFrame) -> DataFrame:
     word names the pages and starts to look at; the other words are then read
     for those pages only, so a frequent word costs no more than its rare
     neighbour. That second join is keyed by word and page, which spreads a
-    frequent word over all its pages. A word allows a start once per offset, so
+    frequent word over all its pages. Neighbours that are all frequent are read as
+    pairs (:func:`phrase_units`), so a phrase of two of them reads one key. A word allows a start once per offset, so
     counting is enough and repeated words need no care.
     """
-    words = written(known_phrase_words(index, parsed), "phrase-words")
+    words = written(phrase_units(index, known_phrase_words(index, parsed)), "phrase-words")
     phrase = ["query_id", "phrase_id"]
 
     def starts(offset):
         return F.transform("positions", lambda at: at - offset)
 
-    rarest = postings_for(index, words.where("is_rarest")).select(
-        *phrase, "n_words", "url", starts(F.col("offset")).alias("starts")
-    )
     keys = [name for name in ("word_bucket", "word") if name in words.columns]
-    others = words.where("NOT is_rarest").select(*phrase, *keys, "offset")
+    rarest = _on_units(
+        index, words.where("is_rarest"), keys,
+        *phrase, "n_words", "url", starts(F.col("offset")).alias("starts"),
+    )
+    others = words.where("NOT is_rarest").select(*phrase, *keys, "offset", "is_pair")
     # One row per page and further word; a phrase of one word has no word here.
     wanted = written(rarest.join(others, phrase, "left"), "phrase-pages")
     agreed = (
-        on_postings(index, wanted, [*keys, "url"])
-        .select(
+        _on_units(
+            index, wanted, [*keys, "url"],
             *phrase,
             "url",
             "n_words",

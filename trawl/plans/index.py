@@ -112,6 +112,12 @@ def postings_of(analysed: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def pair_postings(analysed: DataFrame, frequent: Collection[str]) -> DataFrame:
+    """One row per (pair of neighbouring frequent stems, page): word, url, positions."""
+    pairs = analysed.select("url", F.inline_outer(words.pairs_of(F.col("terms"), frequent)))
+    return pairs.where("word IS NOT NULL").select("word", "url", "positions")
+
+
 def positions_of(postings: DataFrame) -> DataFrame:
     return postings.select("word", "url", F.explode_outer("positions").alias("position"))
 
@@ -139,7 +145,8 @@ class Index:
     pages were fetched again, ``all_postings`` has those of their old versions
     too, by ``batch``, and ``replaced`` lists these as ``url, batch``. A store also has
     ``bounds`` of its postings by block, and lengths (``blocks``) and ``dead`` pages of
-    these blocks.
+    these blocks. ``pairs`` holds postings of neighbouring stems, of old versions too, for
+    the ``frequent`` stems.
     """
 
     documents: DataFrame
@@ -153,6 +160,8 @@ class Index:
     bounds: DataFrame | None = None
     blocks: DataFrame | None = None
     dead: DataFrame | None = None
+    pairs: DataFrame | None = None
+    frequent: tuple[str, ...] = ()
 
     @property
     def positions(self) -> DataFrame:

@@ -5,6 +5,8 @@ Layout below the root::
     documents/batch=N             forward index, one row per page
     postings/batch=N/word_bucket=B   sorted by word, block, url
     bounds/batch=N/word_bucket=B     what a block of pages holds of a word
+    frequent                      words that most pages of the first batch hold
+    pairs/batch=N/word_bucket=B   postings of neighbouring frequent words
     blocks/batch=N                lengths of the pages of a block
     keywords/batch=N/word_bucket=B   change of document frequency per word
     links/batch=N/child_bucket=B     edges by target
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions.blocks import block_bounds, block_sizes, dead_pages, in_blocks
 from trawl.functions.expr import bucket
-from trawl.plans.index import Index, links_of, postings_of
+from trawl.plans.index import Index, keywords_of, links_of, pair_postings, postings_of
 from trawl.session import remove_folder
 
 # The names of the columns that index tables share with their users.
@@ -45,6 +47,8 @@ POSTINGS = (
     "document_size int, positions array<int>, block bigint, slot int, batch bigint, word_bucket int"
 )
 BOUNDS = "word string, block bigint, top double, pages bigint, batch bigint, word_bucket int"
+PAIRS = "word string, url string, positions array<int>, batch bigint, word_bucket int"
+FREQUENT = "word string"
 KEYWORDS = "word string, document_frequency bigint, batch bigint, word_bucket int"
 LINKS = (
     "parent_url string, link_position int, child_url string, batch bigint, child_bucket int"
@@ -54,6 +58,9 @@ SUPERSEDED = "url string, superseded_batch bigint, block bigint, slot int, batch
 BATCHES = "source string, epoch bigint, documents bigint, replaced bigint, batch bigint"
 SETTINGS = "buckets int"
 BUCKETS = 16
+#: Words whose neighbouring pairs are indexed: those that most pages of a store's first pages
+#: hold. The list stays for the life of a store; any other words are found by their postings.
+FREQUENT_WORDS = 256
 
 
 class IndexStore:
@@ -111,6 +118,9 @@ class IndexStore:
             "url", F.col("superseded_batch").alias("batch"), "block", "slot"
         )
 
+    def _frequent(self) -> tuple[str, ...]:
+        return tuple(sorted(row.word for row in self._small("frequent", FREQUENT)))
+
     def _documents(self, rows: list) -> DataFrame:
         ids = [row.batch for row in rows]
         return self._live(self._read("documents", DOCUMENTS, ids), rows)
@@ -135,6 +145,8 @@ class IndexStore:
             bounds=self._read("bounds", BOUNDS, ids).drop("batch"),
             blocks=self._read("blocks", BLOCKS, ids).drop("batch"),
             dead=None if gone is None else dead_pages(gone),
+            pairs=self._read("pairs", PAIRS, ids),
+            frequent=self._frequent() if ids else (),
             keywords=keywords.drop("batch"),
             links=self._live(self._read("links", LINKS, ids), rows, "parent_url").drop("batch"),
             corpus=self.spark.range(1).select(F.lit(n_documents).alias("n_documents")),
@@ -204,6 +216,12 @@ class IndexStore:
         self._write_bucketed(
             block_bounds(postings), "bounds", batch, "word", "word_bucket", "word", "block"
         )
+        if not any(row.documents for row in known):
+            self._choose_frequent(postings)
+        self._write_bucketed(
+            pair_postings(forward, self._frequent()), "pairs", batch, "word", "word_bucket",
+            "word", "url",
+        )
         self._write(block_sizes(forward), "blocks", batch)
         self._write_bucketed(
             links_of(forward), "links", batch, "child_url", "child_bucket",
@@ -229,6 +247,13 @@ class IndexStore:
         if known:
             remove_folder(self.spark, f"{self.root}/staging/batch={batch}")
 
+    def _choose_frequent(self, postings: DataFrame) -> None:
+        """The most frequent words of a store's first pages; a further try chooses again."""
+        most = keywords_of(postings).orderBy(F.desc("document_frequency"), "word")
+        most.limit(FREQUENT_WORDS).select("word").write.mode("overwrite").parquet(
+            f"{self.root}/frequent"
+        )
+
     def _supersede(self, fresh: DataFrame, known: list, batch: int) -> int:
         """Record which live pages the batch replaces; return how many."""
         gone = (
