@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from trawl.functions.expr import bucket
 from trawl.plans.index import Index
-from trawl.session import written
+from trawl.session import BucketedTable, bucketed, written
 
 # Parents listed in one row; a page with more gets more rows.
 PARENTS_PER_PART = 10_000
-# Crawl levels that may be read as separate tables before they are joined in one.
-LEVELS_PER_TABLE = 10
+# Links of a page that lie together; a page with more lies in several parts.
+EDGES_PER_PART = 100_000
 
 
 def parents_of(index: Index, urls: DataFrame) -> DataFrame:
@@ -80,18 +80,8 @@ def crawl_frontier(links: DataFrame, fetched: DataFrame) -> DataFrame:
     )
 
 
-def _in_order(level: DataFrame) -> DataFrame:
-    """Number a level by its sort key without bringing it to one task.
-
-    A range-partitioned sort followed by ids that grow with partition and row
-    gives an order; the ids have gaps.
-    """
-    ordered = level.orderBy("parent_order", "link_position", "url")
-    return written(ordered.withColumn("_id", F.monotonically_increasing_id()), "level")
-
-
 def _id_at(level: DataFrame, count: int) -> int:
-    """Highest id among the first ``count`` rows, from one count per task."""
+    """Highest id among the first ``count`` rows, from one count per task that numbered them."""
     part = F.shiftright("_id", 33)
     sizes = level.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
     left = count
@@ -102,72 +92,107 @@ def _id_at(level: DataFrame, count: int) -> int:
     return (1 << 62) - 1
 
 
+class LinkGraph:
+    """Links between pages, laid out for a search that follows its frontier.
+
+    The links lie in buckets by their parent. A step of a search reads them where
+    they lie and moves only the pages of a level and the pages they reach. A page
+    with more than ``per_part`` links lies in several parts, dealt by a hash of the
+    child, so no bucket takes all links of a page that has most of them.
+
+    There is no second copy by child, to search from the unvisited pages: a search
+    follows each link once, so a copy would move more than it could save.
+    """
+
+    def __init__(self, links: DataFrame, pages: DataFrame, per_part: int = EDGES_PER_PART):
+        self.spark = links.sparkSession
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        sizes = links.groupBy("parent_url").agg(F.ceil(F.count("*") / per_part).alias("parts"))
+        # at most one page for each per_part links
+        self.popular = written(
+            sizes.where("parts > 1").select("parent_url", F.col("parts").cast("int")), "popular"
+        )
+        part = F.pmod(F.xxhash64("child_url"), F.coalesce("parts", F.lit(1))).cast("int")
+        edges = (
+            links.where("parent_url <> child_url")
+            .join(pages.select(F.col("url").alias("child_url")), "child_url", "left_semi")
+            .join(self.popular, "parent_url", "left")
+            .select("parent_url", part.alias("part"), "child_url", "link_position")
+        )
+        keys = ("parent_url", "part")
+        self.edges = bucketed(edges.repartition(self.buckets, *keys), "edges", keys, self.buckets)
+
+    def reached(self, level: DataFrame, visited: DataFrame) -> DataFrame:
+        """Pages that a level links to and that are not visited, with the first way there."""
+        parents = level.select(F.col("url").alias("parent_url"), F.col("_id").alias("parent_order"))
+        parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+        parents = parents.join(self.popular, "parent_url", "left").select(
+            "parent_url", F.explode(parts).alias("part"), "parent_order"
+        )
+        found = self.edges.join(parents, ["parent_url", "part"])
+        found = found.groupBy(F.col("child_url").alias("url")).agg(
+            F.min(F.struct("parent_order", "link_position", "parent_url")).alias("via")
+        )
+        return found.join(visited.select("url"), "url", "left_anti").select("url", "via.*")
+
+
+def _numbered(level: DataFrame) -> DataFrame:
+    """A level with ids in the order of its sort key, without bringing it to one task.
+
+    A range-partitioned sort followed by ids that grow with partition and row
+    gives an order; the ids have gaps.
+    """
+    ordered = level.orderBy("parent_order", "link_position", "url")
+    return ordered.withColumn("_id", F.monotonically_increasing_id())
+
+
 def crawl_order(
-    links: DataFrame, pages: DataFrame, start_url: str, limit: int | None = None
+    links: DataFrame,
+    pages: DataFrame,
+    start_url: str,
+    limit: int | None = None,
+    per_part: int = EDGES_PER_PART,
 ) -> DataFrame:
     """Pages in breadth-first order from ``start_url``.
 
-    Each round joins the newest level to the edges and keeps targets that are
-    pages and were not seen before. Within a level, pages follow the order of
-    the page that first links to them, then that link's position (then url, should
-    two links share one). Stops when a level is empty or ``limit`` pages are
-    reached.
+    Each round finds the pages that the newest level links to and that were not
+    seen before, on a :class:`LinkGraph`. Levels are appended to a table in buckets by
+    url, which meets what a level reaches where it lies. Within a level, pages follow
+    the order of the page that first links to them, then that link's position (then
+    url, should two links share one). Stops when a level is empty or ``limit`` pages
+    are reached.
 
     Columns ``url, depth, parent_url, link_position, level_order``; sorting by
     ``depth, level_order`` gives the crawl order.
     """
-    # Levels and edges are written tables: a small level is sent to the edges,
-    # a large one meets them in a shuffle that splits a page with most links.
-    edges = written(
-        links.where("parent_url <> child_url")
-        .join(pages.select(F.col("url").alias("child_url")), "child_url", "left_semi")
-        .select("parent_url", "child_url", "link_position"),
-        "edges",
-    )
-    level = (
+    graph = LinkGraph(links, pages, per_part)
+    table = BucketedTable(graph.spark, "visited", ["url"], graph.buckets, by="depth")
+    found = (
         pages.where(F.col("url") == start_url)
         .select(
             "url",
-            F.lit(0).alias("depth"),
-            F.lit(None).cast("string").alias("parent_url"),
-            F.lit(0).alias("link_position"),
             F.lit(0).cast("bigint").alias("parent_order"),
+            F.lit(0).cast(graph.edges.schema["link_position"].dataType).alias("link_position"),
+            F.lit(None).cast("string").alias("parent_url"),
         )
         .limit(1)
     )
-    visited = None
-    depth, room = 0, limit
+    depth, room, last = 0, limit, None
     while True:
-        level = _in_order(level)
+        level = _numbered(found).withColumn("depth", F.lit(depth))
+        visited = table.append(level.repartition(graph.buckets, "url"))
+        level = visited.where(F.col("depth") == depth)
         size = level.count()
-        if room is not None and size > room:
-            level = level.where(F.col("_id") <= _id_at(level, room))
-            size = room
-        visited = level if visited is None else visited.unionByName(level)
-        if depth % LEVELS_PER_TABLE == LEVELS_PER_TABLE - 1:
-            visited = written(visited, "visited")
-        if size == 0 or (room is not None and size >= room):
+        if room is not None and size >= room:
+            last = _id_at(level, room) if room else -1
+            break
+        if not size:
             break
         room = None if room is None else room - size
+        found = graph.reached(level, visited)
         depth += 1
-        found = edges.join(
-            level.select(F.col("url").alias("parent_url"), F.col("_id").alias("parent_order")),
-            "parent_url",
-        )
-        found = found.groupBy("child_url").agg(
-            F.min(F.struct("parent_order", "link_position", "parent_url")).alias("via")
-        )
-        level = (
-            found.withColumnRenamed("child_url", "url")
-            .join(visited.select("url"), "url", "left_anti")
-            .select(
-                "url",
-                F.lit(depth).alias("depth"),
-                "via.parent_url",
-                "via.link_position",
-                "via.parent_order",
-            )
-        )
+    if last is not None:
+        visited = visited.where((F.col("depth") < depth) | (F.col("_id") <= last))
     return visited.select(
         "url", "depth", "parent_url", "link_position", F.col("_id").alias("level_order")
     )

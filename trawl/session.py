@@ -84,16 +84,42 @@ def bucketed(rows: DataFrame, name: str, keys: Sequence[str], buckets: int | Non
     opens one file per bucket it has rows of, so ``rows`` should come from a
     shuffle by ``keys`` or hold few keys per task.
     """
-    spark = rows.sparkSession
-    path = new_folder(spark, name)
-    if (paths := _scratch.get()) is not None:
-        paths.append(path)
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"trawl_{uuid.uuid4().hex}"
-    rows.write.bucketBy(buckets, *keys).format("parquet").option("path", path).saveAsTable(table)
-    if paths is not None:
-        _tables.append((path, table))
-    return spark.table(table)
+    return BucketedTable(rows.sparkSession, name, keys, buckets).append(rows)
+
+
+class BucketedTable:
+    """A table of :func:`bucketed` that can grow.
+
+    Rows appended later lie in the same buckets; ``by`` names a column whose
+    values get a folder each, so that rows of one value are read alone.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        name: str,
+        keys: Sequence[str],
+        buckets: int | None = None,
+        by: str | None = None,
+    ):
+        self.spark, self.keys, self.by = spark, list(keys), by
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.path = new_folder(spark, name)
+        self.table = f"trawl_{uuid.uuid4().hex}"
+        if (paths := _scratch.get()) is not None:
+            paths.append(self.path)
+            _tables.append((self.path, self.table))
+
+    def append(self, rows: DataFrame) -> DataFrame:
+        """Add ``rows``; all rows so far."""
+        writer = rows.write.mode("append").bucketBy(self.buckets, *self.keys)
+        if self.by is not None:
+            writer = writer.partitionBy(self.by)
+        writer.format("parquet").option("path", self.path).saveAsTable(self.table)
+        return self.rows()
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.table)
 
 
 def dealt(rows: DataFrame, partitions: int | None) -> DataFrame:
