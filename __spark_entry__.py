@@ -498,6 +498,18 @@ def incremental_links(spark, sf_dir):
     return store.load().links.select("parent_url", "child_url")
 
 
+def compacted_index(spark, sf_dir):
+    """All pages in four batches, pages fetched again in a fifth, then merged by size."""
+    store = IndexStore(spark, new_folder(spark, "compacted"))
+    pages, parts = _table(spark, sf_dir, "pages"), 4
+    for epoch in range(parts):
+        part = pages.where(F.pmod(F.xxhash64("url"), F.lit(parts)) == epoch)
+        index_batch(store, part, epoch, partitions=_tasks(spark))
+    index_batch(store, _recrawl(spark, sf_dir), parts, partitions=_tasks(spark))
+    store.compact()
+    return _posting_rows(store.load())
+
+
 def streaming_index(spark, sf_dir):
     """Page files, then files of pages fetched again, as a stream of micro-batches."""
     source = new_folder(spark, "stream-pages")
@@ -550,6 +562,7 @@ _QUERIES = {
     "latest_pages": newest_pages,
     "incremental_index": incremental_index,
     "incremental_links": incremental_links,
+    "compacted_index": compacted_index,
     "streaming_index": streaming_index,
 }
 

@@ -11,6 +11,7 @@ from trawl.operators.matching import known_terms, postings_for
 from trawl.operators.scoring import scores
 from trawl.sources.pages import one_per_url
 from trawl.session import new_folder, scratch, shared_dir, written
+from trawl.sources.store import next_merge
 
 SEEN = '<p class="right">Last updated on 2015-03-07</p>'
 CHANGED = [
@@ -255,3 +256,45 @@ def test_search_after_a_recrawl(spark, pages, changed, expected):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "LeftAnti" not in plan and plan.index("LeftOuter") < plan.index("Join Inner")
+
+
+def test_batches_are_merged_by_size():
+    sizes, written_pages, most = {}, 0, 0
+    for n in range(50):
+        sizes[1000 * n] = 100
+        while group := next_merge(sizes):
+            merged = sum(sizes.pop(batch) for batch in group)
+            sizes[group[-1] + 1] = merged
+            written_pages += merged
+        most = max(most, len(sizes))
+    assert sum(sizes.values()) == 5000 and most <= 8
+    assert written_pages <= 3 * 5000
+    assert next_merge({}) == [] and next_merge({0: 0, 1: 0, 2: 1}) == []
+    assert next_merge({3: 0, 1: 0, 2: 1, 5: 0, 9: 0}) == [1, 2, 3, 5]
+
+
+def test_merged_batches_equal_a_rebuild(spark, pages, changed, expected):
+    root = new_folder(spark, "merged")
+    store = IndexStore(spark, root, buckets=2)
+    index_batch(store, pages.where("url < 'http://h.test/c'"), 0)
+    index_batch(store, pages.where("url >= 'http://h.test/c'"), 1)
+    index_batch(store, changed, 2)
+    loaded = store.load()
+    assert store.compact(fanout=2) == 1
+    assert [row.batch for row in store.batches()] == [2, 3]
+    assert tables(loaded) == expected and tables(store.load()) == expected
+    # the version that batch 2 replaced is gone from the merged batch
+    assert store._read("documents", "url string", [3]).count() == 3
+    # an epoch that was merged comes again
+    index_batch(store, changed, 1)
+    assert len(store.batches()) == 2
+    # a batch that replaces pages of both, merged with the smaller one
+    index_batch(store, pages, 5)
+    store._merge([2, 4])
+    assert [row.batch for row in store.batches()] == [3, 5]
+    newest = spark.createDataFrame(CHANGED[1:] + PAGES, "url string, html string")
+    again = tables(index_of(analyse(page_fields(html_pages(newest)))))
+    assert tables(store.load()) == again
+    assert store.compact(fanout=2) in (0, 1)
+    store.remove_merged()
+    assert tables(IndexStore(spark, root).load()) == again

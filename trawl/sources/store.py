@@ -21,7 +21,8 @@ writer at a time may append. Pages of a batch are numbered in blocks of similar
 which share an upper bound of each word's weight and a bit per page
 (``functions.blocks``). A batch only writes its own partitions, and the
 next one overwrites what a failed attempt left. Readers drop superseded
-pages. ``Index`` objects read from a store see the batches committed so far.
+pages. ``compact`` merges batches of similar size into a new one, whose ``batches`` row
+names those it stands for; readers leave these out from then on. ``Index`` objects read from a store see the batches committed so far.
 """
 
 from __future__ import annotations
@@ -55,12 +56,33 @@ LINKS = (
 )
 BLOCKS = "block bigint, sizes array<int>, batch bigint"
 SUPERSEDED = "url string, superseded_batch bigint, block bigint, slot int, batch bigint"
-BATCHES = "source string, epoch bigint, documents bigint, replaced bigint, batch bigint"
+BATCHES = (
+    "source string, epoch bigint, documents bigint, replaced bigint, merged array<bigint>, batch bigint"
+)
 SETTINGS = "buckets int"
 BUCKETS = 16
 #: Words whose neighbouring pairs are indexed: those that most pages of a store's first pages
 #: hold. The list stays for the life of a store; any other words are found by their postings.
 FREQUENT_WORDS = 256
+#: Batches of one size class that are merged into one.
+FANOUT = 4
+
+
+def next_merge(sizes: dict[int, int], fanout: int = FANOUT) -> list[int]:
+    """Batches to merge next, given their numbers of pages; none if all classes are small.
+
+    A class holds sizes from one power of ``fanout`` to the next. The smallest
+    class with ``fanout`` batches gives its oldest ones. So fewer than ``fanout``
+    batches of each class are left, and a page is written once per class.
+    """
+    classes: dict[int, list[int]] = {}
+    for batch in sorted(sizes):
+        size, level = max(1, sizes[batch]), 0
+        while size >= fanout:
+            size, level = size // fanout, level + 1
+        classes.setdefault(level, []).append(batch)
+    full = [level for level, batches in classes.items() if len(batches) >= fanout]
+    return classes[min(full)][:fanout] if full else []
 
 
 class IndexStore:
@@ -97,10 +119,16 @@ class IndexStore:
                 raise
             return []
 
-    def batches(self) -> list:
-        """Committed batches, oldest first: one small row each."""
+    def _committed(self) -> list:
+        """All batches ever committed, oldest first: one small row each."""
         return sorted(self._small("batches", BATCHES), key=lambda row: row.batch)
 
+    def batches(self) -> list:
+        """Batches that are read, oldest first: committed and not merged into another."""
+        rows = self._committed()
+        gone = {batch for row in rows for batch in row.merged or ()}
+        return [row for row in rows if row.batch not in gone]
+
     def _live(self, table: DataFrame, rows: list, url: str = "url") -> DataFrame:
         """Drop rows of pages that a later batch replaced."""
         gone = self._gone(rows)
@@ -188,14 +216,14 @@ class IndexStore:
         comes after all that the store holds, whatever its number. Rows of another store's ``forward``
         are accepted too: as one batch of a new store they make a compact copy.
         """
-        known = self.batches()
-        if (source, epoch) in {(row.source, row.epoch) for row in known}:
+        committed, known = self._committed(), self.batches()
+        if (source, epoch) in {(row.source, row.epoch) for row in committed}:
             return
         if not self._has_settings:
             settings = self.spark.createDataFrame([(self.buckets,)], SETTINGS)
             settings.write.mode("overwrite").parquet(f"{self.root}/settings")
             self._has_settings = True
-        batch = known[-1].batch + 1 if known else 0
+        batch = committed[-1].batch + 1 if committed else 0
         now = F.current_timestamp()
         first_seen = F.coalesce("fetched", now) if "fetched" in analysed.columns else now
         fresh = analysed.drop("batch", "block", "slot").withColumn("fetched", first_seen)
@@ -208,6 +236,31 @@ class IndexStore:
             fresh = self._carry_over(fresh, known, batch)
         self._write(in_blocks(fresh, batch), "documents", batch)
 
+        first = not any(row.documents for row in known)
+        forward = self._write_index(batch, first)
+        changes = forward.select(F.explode("terms.word").alias("word"), F.lit(1).alias("change"))
+        if replaced:
+            old = self._replaced(known, batch)
+            changes = changes.unionByName(
+                old.select(F.explode("terms.word").alias("word"), F.lit(-1).alias("change"))
+            )
+        frequency = (
+            changes.groupBy("word")
+            .agg(F.sum("change").alias("document_frequency"))
+            .where("document_frequency <> 0")
+        )
+        self._write_bucketed(frequency, "keywords", batch, "word", "word_bucket", "word")
+        summary = forward.agg(
+            F.lit(source).alias("source"), F.lit(epoch).cast("bigint").alias("epoch"),
+            F.count("*").alias("documents"), F.lit(replaced).cast("bigint").alias("replaced"),
+            F.lit(None).cast("array<bigint>").alias("merged"),
+        )
+        self._write(summary, "batches", batch)
+        if known:
+            remove_folder(self.spark, f"{self.root}/staging/batch={batch}")
+
+    def _write_index(self, batch: int, choose: bool) -> DataFrame:
+        """Write what follows from the written documents of a batch; returns these."""
         forward = self._read("documents", DOCUMENTS, [batch]).drop("batch")
         postings = postings_of(forward, "block", "slot")
         self._write_bucketed(
@@ -216,7 +269,7 @@ class IndexStore:
         self._write_bucketed(
             block_bounds(postings), "bounds", batch, "word", "word_bucket", "word", "block"
         )
-        if not any(row.documents for row in known):
+        if choose:
             self._choose_frequent(postings)
         self._write_bucketed(
             pair_postings(forward, self._frequent()), "pairs", batch, "word", "word_bucket",
@@ -227,25 +280,57 @@ class IndexStore:
             links_of(forward), "links", batch, "child_url", "child_bucket",
             "child_url", "parent_url",
         )
-        changes = forward.select(F.explode("terms.word").alias("word"), F.lit(1).alias("change"))
-        if replaced:
-            old = self._replaced(known, batch)
-            changes = changes.unionByName(
-                old.select(F.explode("terms.word").alias("word"), F.lit(-1).alias("change"))
-            )
+        return forward
+
+    def compact(self, fanout: int = FANOUT) -> int:
+        """Merge batches until fewer than ``fanout`` of each size class are left.
+
+        Of n equal batches about ``fanout * log(n)`` remain to be read, and a page
+        is written again once per class. Versions that were replaced vanish
+        from what is merged. Hits, frequencies and words stay the same. A failed merge
+        leaves the store as it was. Folders of merged batches stay for readers that have
+        loaded them; :meth:`remove_merged` deletes them. Returns the number of merges.
+        """
+        merges = 0
+        while group := next_merge({row.batch: row.documents for row in self.batches()}, fanout):
+            self._merge(group)
+            merges += 1
+        return merges
+
+    def _merge(self, group: list[int]) -> None:
+        batch, rows = self._committed()[-1].batch + 1, self.batches()
+        others = [row.batch for row in rows if row.batch not in group]
+        live = self._live(self._read("documents", DOCUMENTS, group), rows)
+        self._write(in_blocks(live.drop("batch", "block", "slot"), batch), "documents", batch)
+        self._write_index(batch, choose=False)
+        # changes of frequency and of the number of pages add up to the same sums
         frequency = (
-            changes.groupBy("word")
-            .agg(F.sum("change").alias("document_frequency"))
+            self._read("keywords", KEYWORDS, group).groupBy("word")
+            .agg(F.sum("document_frequency").alias("document_frequency"))
             .where("document_frequency <> 0")
         )
         self._write_bucketed(frequency, "keywords", batch, "word", "word_bucket", "word")
-        summary = forward.agg(
-            F.lit(source).alias("source"), F.lit(epoch).cast("bigint").alias("epoch"),
-            F.count("*").alias("documents"), F.lit(replaced).cast("bigint").alias("replaced")
+        merged = [row for row in rows if row.batch in group]
+        replaced, replacing = 0, [row.batch for row in merged if row.replaced]
+        if replacing and others:
+            # what the group replaces in batches that stay
+            gone = self._read("superseded", SUPERSEDED, replacing).drop("batch")
+            gone = gone.where(F.col("superseded_batch").isin(others))
+            self._write(gone, "superseded", batch)
+            replaced = self._read("superseded", SUPERSEDED, [batch]).count()
+        documents = sum(row.documents - row.replaced for row in merged) + replaced
+        summary = self.spark.createDataFrame(
+            [("compaction", batch, documents, replaced, group)], BATCHES.rsplit(",", 1)[0]
         )
-        self._write(summary, "batches", batch)
-        if known:
-            remove_folder(self.spark, f"{self.root}/staging/batch={batch}")
+        self._write(summary.coalesce(1), "batches", batch)
+
+    def remove_merged(self) -> None:
+        """Delete the tables of merged batches, once no reader has them loaded."""
+        for batch in sorted({n for row in self._committed() for n in row.merged or ()}):
+            for table in (
+                "documents", "postings", "bounds", "pairs", "blocks", "links", "keywords", "superseded"
+            ):
+                remove_folder(self.spark, f"{self.root}/{table}/batch={batch}")
 
     def _choose_frequent(self, postings: DataFrame) -> None:
         """The most frequent words of a store's first pages; a further try chooses again."""

@@ -410,6 +410,7 @@ def oracle_sql() -> dict[str, str]:
         "'<html lang=\"fr\">') THEN 2 ELSE 1 END AS version, md5(s.html) AS html_md5 "
         "FROM src s JOIN pages p USING (url)",
         "incremental_index": recrawled + rows,
+        "compacted_index": recrawled + rows,
         "incremental_links": _with(_RECRAWLED, _MARKUP, _HREFS)
         + "SELECT parent_url, child_url FROM edges",
         "streaming_index": recrawled + rows,
