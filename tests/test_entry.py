@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as entry
 import trawl_oracle
+from conftest import link, page
 
 SF = "/root/testdata/sf0.001"
 CHECKED = (
@@ -40,3 +41,25 @@ def test_query_against_sql(spark, db, name):
 def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.count() > 0 and "rank" in frame.columns
+
+
+@pytest.mark.parametrize("name", ("incremental_index", "incremental_links", "compacted_index"))
+def test_of_a_url_that_comes_twice_the_later_page_is_indexed(spark, tmp_path, name):
+    french = page("Quai", "quai <nav>" + link("/x") + "</nav>" + link("/y")).replace(
+        "<html>", '<html lang="fr">'
+    )
+    pages = [
+        (2, "http://h.test/a", page("Plum", "plum" + link("/b"))),
+        (1, "http://h.test/a", page("Tart", "tart" + link("/c"))),
+        (3, "http://h.test/f", page("Pie", "pie" + link("/z"))),
+        (4, "http://h.test/f", french),
+    ]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    found = entry.queries()[name](spark, str(tmp_path)).collect()
+    if name == "incremental_links":
+        assert {(r.parent_url[-1], r.child_url[-1]) for r in found} == {("a", "b"), ("f", "y")}
+    else:
+        assert {(r.word, r.url[-1], r.document_frequency) for r in found} == {
+            ("plum", "a", 1), ("quai", "f", 1)
+        }
