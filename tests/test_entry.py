@@ -63,3 +63,22 @@ def test_of_a_url_that_comes_twice_the_later_page_is_indexed(spark, tmp_path, na
         assert {(r.word, r.url[-1], r.document_frequency) for r in found} == {
             ("plum", "a", 1), ("quai", "f", 1)
         }
+
+
+def test_a_word_is_weighed_once_however_many_queries_ask(spark, tmp_path, monkeypatch):
+    pages = [(n, f"http://h.test/{n}", page("Tart", f"pie {n}")) for n in range(6)]
+    pages.append((6, "http://h.test/6", page("Rain", "rain")))
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    weighed = []
+
+    def spy(*args, of=entry.scoring.term_weights):
+        weighed.append(of(*args))
+        return weighed[-1]
+
+    monkeypatch.setattr(entry.scoring, "term_weights", spy)
+    found = entry.queries()["term_weights"](spark, str(tmp_path)).collect()
+    assert [(r.query_id, r.word, r.pages) for r in sorted(found)] == [
+        *((n, "tart", 6) for n in range(6)), (6, "rain", 1)
+    ]
+    assert weighed[0].count() == 7
