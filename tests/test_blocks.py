@@ -6,10 +6,10 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from trawl import IndexStore, analyse, parse_queries, plain_fields, search_json
+from trawl import IndexStore, analyse, parse_queries, plain_fields, search_json, session
 from trawl.functions import blocks
 from trawl.operators import scoring
-from trawl.session import new_folder
+from trawl.session import new_folder, written
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +92,32 @@ def test_json_counts_and_results_agree(store, queries):
     heads = {r.query_id: r.json for r in lines if r.position == 0}
     assert len(heads) == queries.count() and "No results found" in heads[101] and "No results found" in heads[103]
     assert max(r.position for r in lines) == 10
+
+
+def _plan(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def _counts(rows):
+    return sorted((r.query_id, r.total) for r in rows.collect())
+
+
+def test_counting_hits_makes_no_bounds_and_moves_blocks_once(store, queries, monkeypatch):
+    index = store.load()
+    expected = _counts(scoring.hit_counts(replace(index, bounds=None, dead=None), queries))
+    known = written(scoring.known_terms(index, queries), "terms")
+    for rows in (scoring.block_hits(index, known), scoring.query_blocks(index, known)):
+        assert "hashpartitioning(block" in _plan(rows) and "hashpartitioning(query_id" not in _plan(rows)
+    monkeypatch.setattr(scoring, "query_blocks", None)
+    assert _counts(scoring.hit_counts(index, queries)) == expected
+
+
+def test_large_tables_are_not_sent_whole(store, queries, monkeypatch):
+    index = store.load()
+    index = replace(index, replaced=None, postings=index.all_postings.drop("batch"))
+    known = written(scoring.known_terms(index, queries), "terms")
+    expected = shown(scoring.top_results(store.load(), queries, 7))
+    assert "BroadcastHashJoin" in _plan(scoring.on_postings(index, known, ["word_bucket", "word"]))
+    monkeypatch.setattr(session, "SENT_ROWS", 0)
+    assert "Broadcast" not in _plan(scoring.on_postings(index, known, ["word_bucket", "word"]))
+    assert shown(scoring.top_results(store.load(), queries, 7)) == expected

@@ -65,6 +65,21 @@ def test_of_a_url_that_comes_twice_the_later_page_is_indexed(spark, tmp_path, na
         }
 
 
+def test_results_show_a_url_that_comes_twice_once(spark, tmp_path):
+    pages = [
+        (1, "http://h.test/a", page("Tart", "tart pie")),
+        (2, "http://h.test/a", page("Tart", "tart plum")),
+        (3, "http://h.test/b", page("Rain", "rain")),
+    ]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    for name in ("search_results", "search_json"):
+        found = entry.queries()[name](spark, str(tmp_path)).where("position > 0").collect()
+        assert sorted((r.query_id, r.url[-1], r.keywords) for r in found) == [
+            (1, "a", "tart:2"), (2, "a", "tart:2"), (3, "b", "rain:2")
+        ]
+
+
 def test_a_word_is_weighed_once_however_many_queries_ask(spark, tmp_path, monkeypatch):
     pages = [(n, f"http://h.test/{n}", page("Tart", f"pie {n}")) for n in range(6)]
     pages.append((6, "http://h.test/6", page("Rain", "rain")))

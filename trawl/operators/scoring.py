@@ -13,7 +13,7 @@ from trawl.operators.matching import (
     known_terms, on_postings, pages_with_all_phrases, postings_for,
 )
 from trawl.plans.index import Index
-from trawl.session import written
+from trawl.session import few, unsent, written
 
 # Scores that agree to this many significant digits tie: the order of a
 # floating-point sum must not decide a ranking.
@@ -55,9 +55,9 @@ def _weights_on(index: Index, known: DataFrame, pages: DataFrame) -> DataFrame:
     """Weights of the known words of queries on the given ``query_id, url`` only.
 
     The postings are joined by word and page: a frequent word costs no more than
-    the pages asked for.
+    the pages asked for. ``pages`` are a written table.
     """
-    wanted = written(known.join(pages, "query_id"), "wanted")
+    wanted = written(known.join(unsent(pages), "query_id"), "wanted")
     keys = [name for name in ("word_bucket", "word") if name in wanted.columns]
     return _weighed(index, on_postings(index, wanted, [*keys, "url"]))
 
@@ -76,6 +76,44 @@ class Matches:
     blocks: DataFrame | None
 
 
+def _parts(index: Index, known: DataFrame) -> DataFrame:
+    """``query_id, block, part, pages``: what a block holds of each known word of a query.
+
+    The blocks of asked words are dealt by block before queries are joined to them, so what
+    moves does not grow with the queries that ask for a word, and groups by query and
+    block find their rows where they lie. Too many words to be sent to all tasks meet them by word.
+    """
+    keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
+    idf = F.log2(index.corpus.scalar() / F.col("document_frequency"))
+    asked = known.where(F.length("word") > 0)
+    if few(asked):
+        held = index.bounds.join(asked.select(*keys).distinct(), keys, "left_semi")
+        rows = held.repartition("block").join(F.broadcast(asked), keys)
+    else:
+        rows = index.bounds.join(asked.hint("merge"), keys)
+    return rows.select("query_id", "block", "pages", (F.col("top") * idf / F.col("n_known")).alias("part"))
+
+
+def _without_dead(index: Index, rows: DataFrame) -> DataFrame:
+    """``block, pages``, without the bits of pages that were replaced."""
+    if index.dead is None:
+        return rows
+    gone = F.coalesce("gone", F.lit(0).cast("bigint"))
+    return rows.join(index.dead, "block", "left").withColumn(
+        "pages", F.col("pages").bitwiseAND(F.bitwise_not(gone))
+    )
+
+
+def _hits() -> Column:
+    return F.bit_count("pages").cast("bigint").alias("hits")
+
+
+def block_hits(index: Index, known: DataFrame) -> DataFrame:
+    """``query_id, block, hits``: how many pages of a block hold a known word, without bounds."""
+    rows = _parts(index, known).groupBy("query_id", "block").agg(F.bit_or("pages").alias("pages"))
+    return _without_dead(index, rows).select("query_id", "block", _hits()).where("hits > 0")
+
+
 def query_blocks(index: Index, known: DataFrame) -> DataFrame:
     """Blocks of pages that hold a known word: ``query_id, block, bounds, upper, pages, hits``.
 
@@ -83,33 +121,29 @@ def query_blocks(index: Index, known: DataFrame) -> DataFrame:
     is ``upper``; ``pages`` are the bits of those that match and ``hits`` is their number.
     A query's words are few, so what is gathered of them per block is bounded.
     """
-    keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
-    idf = F.log2(index.corpus.scalar() / F.col("document_frequency"))
     rows = (
-        index.bounds.join(known.where(F.length("word") > 0), keys)
-        .select("query_id", "block", "pages", (F.col("top") * idf / F.col("n_known")).alias("part"))
+        _parts(index, known)
         .groupBy("query_id", "block")
         .agg(F.collect_list(F.struct("part", "pages")).alias("parts"), F.bit_or("pages").alias("pages"))
         .join(index.blocks, "block")
         .select("query_id", "block", page_bounds(F.col("parts"), F.col("sizes")).alias("bounds"), "pages")
     )
-    if index.dead is not None:
-        gone = F.coalesce("gone", F.lit(0).cast("bigint"))
-        rows = rows.join(index.dead, "block", "left").withColumn(
-            "pages", F.col("pages").bitwiseAND(F.bitwise_not(gone))
-        )
-    return rows.select(
-        "query_id", "block", "bounds", F.array_max("bounds").alias("upper"), "pages",
-        F.bit_count("pages").cast("bigint").alias("hits"),
+    return _without_dead(index, rows).select(
+        "query_id", "block", "bounds", F.array_max("bounds").alias("upper"), "pages", _hits()
     ).where("hits > 0")
 
 
+def _holding(index: Index, parsed: DataFrame, known: DataFrame) -> DataFrame | None:
+    """The pages that hold all phrases of the queries that have any; None without such queries."""
+    if not known.where("n_phrases > 0").take(1):
+        return None
+    phrased = parsed.where(F.size("phrases") > 0)
+    return written(pages_with_all_phrases(index, phrased), "holding")
+
+
 def matches(index: Index, parsed: DataFrame) -> Matches:
     known = written(known_terms(index, parsed), "terms")
-    holding = blocks = None
-    if known.where("n_phrases > 0").take(1):
-        phrased = parsed.where(F.size("phrases") > 0)
-        holding = written(pages_with_all_phrases(index, phrased), "holding")
+    holding, blocks = _holding(index, parsed, known), None
     if index.bounds is not None:
         blocks = written(query_blocks(index, known.where("n_phrases = 0")), "query-blocks")
     return Matches(known, holding, blocks)
@@ -184,7 +218,7 @@ def contenders(index: Index, found: Matches, k: int) -> DataFrame:
     first = written(
         alike.groupBy("query_id", "block").agg(bits_of(F.collect_list("slot")).alias("pages")), "first-pages"
     )
-    scored = written(_scores_in(index, known, first), "first-hits")
+    scored = written(_scores_in(index, known, unsent(first)), "first-hits")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"))
     least = (
         scored.withColumn("_n", F.row_number().over(by_score)).where(F.col("_n") <= k)
@@ -198,7 +232,7 @@ def contenders(index: Index, found: Matches, k: int) -> DataFrame:
     rest = (
         found.blocks.join(written(least, "least"), "query_id", "left")
         .where(F.col("least").isNull() | (F.col("upper") >= F.col("least")))
-        .join(done, ["query_id", "block"], "left")
+        .join(unsent(done), ["query_id", "block"], "left")
         .select("query_id", "block", reaching.bitwiseAND(
             F.bitwise_not(F.coalesce("done", F.lit(0).cast("bigint")))
         ).alias("pages"))
@@ -295,13 +329,19 @@ def hit_counts(
     Where the index has bounds by block, matches are counted by the bits of its pages,
     or as the pages that hold all phrases, and nothing is scored.
     """
-    found = matches(index, parsed) if found is None else found
-    if found.blocks is None:
+    if found is None:
+        known = written(known_terms(index, parsed), "terms")
+        holding = _holding(index, parsed, known)
+        found = Matches(known, holding, None)
+        blocks = None if index.bounds is None else block_hits(index, known.where("n_phrases = 0"))
+    else:
+        blocks, holding = found.blocks, found.holding
+    if blocks is None:
         counts = scores(index, parsed, found).groupBy("query_id").agg(F.count("*").alias("n"))
     else:
-        counts = found.blocks.groupBy("query_id").agg(F.sum("hits").alias("n"))
-        if found.holding is not None:
-            counts = counts.unionByName(found.holding.groupBy("query_id").agg(F.count("*").alias("n")))
+        counts = blocks.groupBy("query_id").agg(F.sum("hits").alias("n"))
+        if holding is not None:
+            counts = counts.unionByName(holding.groupBy("query_id").agg(F.count("*").alias("n")))
     total = F.coalesce("n", F.lit(0))
     label = F.when(total > k, F.concat(total.cast("string"), F.lit(f" ({k} shown)"))).otherwise(
         total.cast("string")

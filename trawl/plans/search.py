@@ -11,7 +11,7 @@ from trawl.functions.queries import parse
 from trawl.operators.linkgraph import PARENTS_PER_PART, parent_lists
 from trawl.operators.scoring import Matches, hit_counts, matched_keywords, matches, top_results
 from trawl.plans.index import Index
-from trawl.session import written
+from trawl.session import unsent, written
 from trawl.sources.stopwords import default_stopwords
 
 SHOWN = 50
@@ -44,7 +44,7 @@ def search(
     )
     no_urls = F.array().cast("array<string>")
     return (
-        top.join(keywords, ["query_id", "url"])
+        unsent(top).join(keywords, ["query_id", "url"])
         .join(children, "url")
         .join(parents, "url", "left")
         .select(
