@@ -59,7 +59,7 @@ def _weights_on(index: Index, known: DataFrame, pages: DataFrame) -> DataFrame:
     """
     wanted = written(known.join(unsent(pages), "query_id"), "wanted")
     keys = [name for name in ("word_bucket", "word") if name in wanted.columns]
-    return _weighed(index, on_postings(index, wanted, [*keys, "url"]))
+    return _weighed(index, on_postings(index, wanted, [*keys, "url"], known))
 
 
 @dataclass(frozen=True)
