@@ -43,3 +43,9 @@ def test_words_select_postings_before_they_move(spark, store):
     found = matching.on_postings(index, wanted, keys, known)
     assert "LeftSemi" in plan_of(found)
     assert [row.word for row in found.collect()] == [row.word for row in known.collect()]
+
+
+def test_sums_find_their_rows_where_pages_were_dealt(spark, store):
+    plan = plan_of(scoring.scores(store.load(), queries(spark, [(1, "red apple"), (2, "pie")])))
+    assert "hashpartitioning(url" in plan
+    assert "hashpartitioning(query_id" not in plan

@@ -167,6 +167,23 @@ def _summed(weights: DataFrame) -> DataFrame:
     )
 
 
+def _weights_by_page(index: Index, known: DataFrame) -> DataFrame:
+    """Weights of the known words of queries on all pages, dealt by page.
+
+    The postings of asked words are dealt by page before queries are joined to them, so
+    what moves does not grow with the queries that ask for a word, and sums by query and
+    page find their rows where they lie. Too many words to be sent to all tasks meet them by word.
+    """
+    asked = known.where(F.length("word") > 0)
+    if not few(asked):
+        return _weighed(index, postings_for(index, known))
+    keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
+    held = on_postings(index, asked.select(*keys).distinct(), keys).select(
+        *keys, "url", "term_frequency", "in_title", "max_tf", "document_size"
+    )
+    return _weighed(index, held.repartition("url").join(F.broadcast(asked), keys))
+
+
 def scores(index: Index, parsed: DataFrame, found: Matches | None = None) -> DataFrame:
     """``query_id, url, score`` of all matching pages, phrases enforced.
 
@@ -175,7 +192,7 @@ def scores(index: Index, parsed: DataFrame, found: Matches | None = None) -> Dat
     """
     known = written(known_terms(index, parsed), "terms") if found is None else found.known
     holding = None if found is None else found.holding
-    weights = _weighed(index, postings_for(index, known.where("n_phrases = 0")))
+    weights = _weights_by_page(index, known.where("n_phrases = 0"))
     phrased = parsed.where(F.size("phrases") > 0)
     if known.where("n_phrases > 0").take(1):
         if holding is None:
