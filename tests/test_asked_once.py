@@ -49,3 +49,46 @@ def test_sums_find_their_rows_where_pages_were_dealt(spark, store):
     plan = plan_of(scoring.scores(store.load(), queries(spark, [(1, "red apple"), (2, "pie")])))
     assert "hashpartitioning(url" in plan
     assert "hashpartitioning(query_id" not in plan
+
+
+def test_equal_queries_are_answered_once(spark, store, monkeypatch):
+    asked = []
+    known_terms = scoring.known_terms
+
+    def counted(index, parsed):
+        asked.append(parsed.count())
+        return known_terms(index, parsed)
+
+    monkeypatch.setattr(scoring, "known_terms", counted)
+    rows = [(n, '"red apple" pie') for n in range(20)] + [(20, "plum"), (21, None)]
+    found = pages_of(scoring.scores(store.load(), queries(spark, rows)))
+    assert found == {**{n: {0, 1} for n in range(20)}, 20: {4}}
+    assert asked == [3]
+
+
+def test_phrases_are_looked_up_once_and_all_of_them_needed(spark, store, monkeypatch):
+    asked = []
+    phrase_hits = matching.phrase_hits
+
+    def counted(index, parsed):
+        asked.append(parsed.count())
+        return phrase_hits(index, parsed)
+
+    monkeypatch.setattr(matching, "phrase_hits", counted)
+    rows = [
+        (0, '"red apple" "apple pie"'), (1, '"apple pie" "red apple" x'), (2, '"apple pie"'),
+        (3, '"apple pie" "zq"'), (4, '"apple pie" "apple pie"'), (5, '"red apple" "apple tart" "red apple"'),
+    ]
+    found = pages_of(matching.pages_with_all_phrases(store.load(), queries(spark, rows)))
+    assert found == {0: {0}, 1: {0}, 2: {0, 3}, 4: {0, 3}, 5: {1}}
+    assert asked == [4]
+
+
+def test_rows_of_one_query_id_stay_one_query(spark, store):
+    rows = [(1, "red"), (1, "red"), (2, "red"), (None, "red"), (None, "plum")]
+    hits = scoring.scores(store.load(), queries(spark, rows)).collect()
+    found = {}
+    for row in hits:
+        found.setdefault(row.query_id, []).append(row.url)
+    assert sorted(found[1]) == sorted(found[2]) and len(found[1]) == 3
+    assert len(found[None]) == 4

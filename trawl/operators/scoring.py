@@ -184,22 +184,48 @@ def _weights_by_page(index: Index, known: DataFrame) -> DataFrame:
     return _weighed(index, held.repartition("url").join(F.broadcast(asked), keys))
 
 
+def _asked_once(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Queries that ask for the same, once each, and ``query_id, same_as`` of all queries.
+
+    Rows that share a ``query_id`` are one query, those without any too.
+    """
+    asks = F.array_sort(F.collect_list(F.struct("terms", "phrases"))).alias("asks")
+    queries = parsed.groupBy("query_id").agg(asks)
+    alike = Window.partitionBy("asks", F.col("query_id").isNull())
+    named = written(
+        queries.select("query_id", F.min("query_id").over(alike).alias("same_as")), "queries"
+    )
+    once = named.select("same_as").distinct()
+    return parsed.join(unsent(once), F.equal_null("query_id", "same_as"), "left_semi"), named
+
+
 def scores(index: Index, parsed: DataFrame, found: Matches | None = None) -> DataFrame:
     """``query_id, url, score`` of all matching pages, phrases enforced.
 
     A query with phrases starts from the pages that hold them all; only queries
-    without any look at every page that holds one of their words.
+    without any look at every page that holds one of their words. Queries that ask for
+    the same are answered once, and their hits go to each of them.
     """
-    known = written(known_terms(index, parsed), "terms") if found is None else found.known
-    holding = None if found is None else found.holding
-    weights = _weights_by_page(index, known.where("n_phrases = 0"))
-    phrased = parsed.where(F.size("phrases") > 0)
-    if known.where("n_phrases > 0").take(1):
-        if holding is None:
-            holding = written(pages_with_all_phrases(index, phrased), "holding")
-        free = known.where("n_phrases = 0").take(1)
-        on_pages = _weights_on(index, known.where("n_phrases > 0"), holding)
-        weights = weights.unionByName(on_pages) if free else on_pages
+    if found is not None:
+        return _scores_of(index, parsed, found.known, found.holding)
+    once, named = _asked_once(parsed)
+    once = written(once, "asked")
+    hits = _scores_of(index, once, written(known_terms(index, once), "terms"), None)
+    hits = hits.withColumnRenamed("query_id", "same_as_hit")
+    return hits.join(unsent(named), F.equal_null("same_as_hit", "same_as")).select("query_id", "url", "score")
+
+
+def _scores_of(
+    index: Index, parsed: DataFrame, known: DataFrame, holding: DataFrame | None
+) -> DataFrame:
+    free = known.where("n_phrases = 0")
+    if not known.where("n_phrases > 0").take(1):
+        return _summed(_weights_by_page(index, free))
+    if holding is None:
+        holding = written(pages_with_all_phrases(index, parsed.where(F.size("phrases") > 0)), "holding")
+    weights = _weights_on(index, known.where("n_phrases > 0"), holding)
+    if free.take(1):
+        weights = _weights_by_page(index, free).unionByName(weights)
     return _summed(weights)
 
 
