@@ -92,3 +92,9 @@ def test_rows_of_one_query_id_stay_one_query(spark, store):
         found.setdefault(row.query_id, []).append(row.url)
     assert sorted(found[1]) == sorted(found[2]) and len(found[1]) == 3
     assert len(found[None]) == 4
+
+
+def test_many_rows_are_dealt_over_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(session, "DEALT_ROWS", 10)
+    assert dealt(spark.range(100), 4).rdd.getNumPartitions() == 10
+    assert dealt(spark.range(30), 4).rdd.getNumPartitions() == 4
