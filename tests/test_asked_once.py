@@ -98,3 +98,16 @@ def test_many_rows_are_dealt_over_more_tasks(spark, monkeypatch):
     monkeypatch.setattr(session, "DEALT_ROWS", 10)
     assert dealt(spark.range(100), 4).rdd.getNumPartitions() == 10
     assert dealt(spark.range(30), 4).rdd.getNumPartitions() == 4
+
+
+def test_a_stream_deals_its_batches(spark):
+    source = new_folder(spark, "few-files")
+    html = F.concat(F.lit("<html><body>word"), F.col("id").cast("string"), F.lit("</body></html>"))
+    pages = spark.range(60).select(
+        F.concat(F.lit("http://h.test/"), F.col("id").cast("string")).alias("url"), html.alias("html")
+    )
+    pages.coalesce(1).write.parquet(source)
+    store = IndexStore(spark, new_folder(spark, "dealt-stream"), buckets=4)
+    index_stream(spark, source, store, new_folder(spark, "ck"), partitions=6).awaitTermination()
+    blocks = store.load().blocks.select("block").distinct().count()
+    assert store.load().documents.count() == 60 and blocks == 6

@@ -67,6 +67,7 @@ def index_stream(
     version: str | None = None,
     files_per_batch: int = 1000,
     path_filter: str = "*.parquet",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Index the page files that have arrived under ``source``, in order of arrival.
 
@@ -75,7 +76,8 @@ def index_stream(
     are not mistaken for it. Of a url that comes more than once the later row
     wins: by ``version`` if given, else by the file's time of change, its path
     and the row's place, whatever the number of files in a micro-batch. The
-    stream itself keeps no state beyond its checkpoint.
+    stream itself keeps no state beyond its checkpoint. ``partitions`` deals a
+    micro-batch over more tasks than its files make.
     """
     metadata = [
         F.col(f"_metadata.{name}").alias(alias)
@@ -92,7 +94,7 @@ def index_stream(
     order = [F.desc(column) for column in ((version,) if version else ()) + ARRIVAL]
 
     def write(batch_pages: DataFrame, epoch: int) -> None:
-        _index(store, batch_pages, epoch, stopwords, order, name)
+        _index(store, batch_pages, epoch, stopwords, order, name, partitions)
 
     return (
         pages.writeStream.foreachBatch(write)
