@@ -111,3 +111,10 @@ def test_a_stream_deals_its_batches(spark):
     index_stream(spark, source, store, new_folder(spark, "ck"), partitions=6).awaitTermination()
     blocks = store.load().blocks.select("block").distinct().count()
     assert store.load().documents.count() == 60 and blocks == 6
+
+
+def test_frequencies_follow_from_the_bits_of_blocks(store):
+    held = {r.word: r.n for r in store._held(0).groupBy("word").agg(F.sum("pages").alias("n")).collect()}
+    index = store.load()
+    postings = {r.word: r["count"] for r in index.postings.groupBy("word").count().collect()}
+    assert held == postings == {r.word: r.document_frequency for r in index.keywords.collect()}
