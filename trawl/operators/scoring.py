@@ -7,13 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trawl.functions.blocks import TITLE_BOOST, bits_of, page_bounds, pages_reaching
+from trawl.functions.blocks import (
+    TITLE_BOOST, bits_of, bits_of_slots, impact, page_bounds, pages_reaching,
+)
 from trawl.functions.dates import display_date
 from trawl.operators.matching import (
     known_terms, on_postings, pages_with_all_phrases, postings_for,
 )
 from trawl.plans.index import Index
-from trawl.session import few, unsent, written
+from trawl.session import few, slices, unsent, written
 
 # Scores that agree to this many significant digits tie: the order of a
 # floating-point sum must not decide a ranking.
@@ -23,6 +25,10 @@ SCORE_DIGITS = 9
 MARGIN = 1e-6
 # Matches that are scored for a first bound, as a multiple of the results wanted.
 AHEAD = 4
+# Words of a query that a page holds on average, from which on pages are bounded by block.
+DENSE_WORDS = 2
+# Groups that a task sums up at most, on average: its hash table fits its memory.
+SUMMED_ROWS = 2_000_000
 
 
 def _weighed(index: Index, entries: DataFrame) -> DataFrame:
@@ -68,12 +74,25 @@ class Matches:
 
     ``known`` are the queries' known words, ``holding`` the pages that hold all phrases of
     the queries that have any, and ``blocks`` (:func:`query_blocks`) where the other
-    queries match. Indexes that are not stored have no blocks.
+    queries match. Indexes that are not stored have no blocks. With ``by_page`` the blocks
+    are not stored, as bounds come from the words that matter (:func:`_reaching_pages`).
     """
 
     known: DataFrame
     holding: DataFrame | None
     blocks: DataFrame | None
+    by_page: bool = False
+
+
+def _tasks(rows: DataFrame, groups: int) -> int:
+    """Tasks over which so many groups are summed up."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-groups // SUMMED_ROWS))
+
+
+def _block_tasks(index: Index, known: DataFrame) -> int:
+    queries = known.select("query_id").distinct().count()
+    return _tasks(known, queries * index.blocks.count())
 
 
 def _parts(index: Index, known: DataFrame) -> DataFrame:
@@ -88,7 +107,7 @@ def _parts(index: Index, known: DataFrame) -> DataFrame:
     asked = known.where(F.length("word") > 0)
     if few(asked):
         held = index.bounds.join(asked.select(*keys).distinct(), keys, "left_semi")
-        rows = held.repartition("block").join(F.broadcast(asked), keys)
+        rows = held.repartition(_block_tasks(index, asked), "block").join(F.broadcast(asked), keys)
     else:
         rows = index.bounds.join(asked.hint("merge"), keys)
     return rows.select("query_id", "block", "pages", (F.col("top") * idf / F.col("n_known")).alias("part"))
@@ -143,10 +162,25 @@ def _holding(index: Index, parsed: DataFrame, known: DataFrame) -> DataFrame | N
 
 def matches(index: Index, parsed: DataFrame) -> Matches:
     known = written(known_terms(index, parsed), "terms")
-    holding, blocks = _holding(index, parsed, known), None
+    holding, blocks, by_page = _holding(index, parsed, known), None, False
     if index.bounds is not None:
-        blocks = written(query_blocks(index, known.where("n_phrases = 0")), "query-blocks")
-    return Matches(known, holding, blocks)
+        free = known.where("n_phrases = 0")
+        blocks, by_page = query_blocks(index, free), _is_sparse(index, free)
+        if not by_page:
+            blocks = written(blocks, "query-blocks")
+    return Matches(known, holding, blocks, by_page)
+
+
+def _is_sparse(index: Index, known: DataFrame) -> bool:
+    """Whether pages hold so few words of a query that they are looked at one by one.
+
+    A url that the index holds more than once is scored as a whole, but bounded by page;
+    bounds by block are taken then.
+    """
+    asked = known.agg(F.countDistinct("query_id").alias("n"), F.sum("document_frequency").alias("held")).first()
+    if not asked.n or asked.held >= DENSE_WORDS * asked.n * index.corpus.first().n_documents:
+        return False
+    return not index.documents.groupBy("url").count().where("count > 1").take(1)
 
 
 def _summed(weights: DataFrame) -> DataFrame:
@@ -237,6 +271,99 @@ def _scores_in(index: Index, known: DataFrame, pages: DataFrame) -> DataFrame:
     return _summed(_weighed(index, entries))
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """``rows`` that many more are joined to, which do not move if these may be sent."""
+    return F.broadcast(rows) if few(rows) else rows.hint("merge")
+
+
+def _word_bounds(index: Index, words: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Per word and whether a title holds it: the ``top`` of its shares in page scores, and ``held`` pages.
+
+    ``kth`` is the word's k-th share on any page, or null if fewer hold it. A share is to be
+    multiplied by what the query contributes.
+    """
+    share = (impact() / F.greatest("document_size", F.lit(1))).alias("share")
+    shares = on_postings(index, words, keys).select(*keys, "in_title", share)
+    best = Window.partitionBy(*keys).orderBy(F.desc("share"))
+    kth = shares.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k)
+    kth = kth.where(F.col("_n") == k).select(*keys, F.col("share").alias("kth"))
+    tops = shares.groupBy(*keys, "in_title").agg(F.max("share").alias("top"), F.count("*").alias("held"))
+    return written(tops.join(kth, keys, "left"), "word-bounds")
+
+
+def _essential(index: Index, known: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """The words of queries of which a page among the first ``k`` holds at least one.
+
+    The k-th share of any word of a query is a lower bound of its k-th score (``least``).
+    Words, in titles or not, whose tops do not add up to it are left out, from the lowest one
+    on; ``rest`` is what they can add to a page.
+    """
+    words = _word_bounds(index, _sent(known.select(*keys).distinct()), keys, k)
+    times = F.log2(index.corpus.scalar() / F.col("document_frequency")) / F.col("n_known")
+    per_query = Window.partitionBy("query_id")
+    upwards = per_query.orderBy("part", "word", "in_title").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    parts = (
+        known.join(unsent(words), keys)
+        .withColumn("times", times)
+        .withColumn("part", F.col("top") * F.col("times"))
+        .withColumn("least", F.max(F.col("kth") * F.col("times")).over(per_query) * (1 - MARGIN))
+        .withColumn("_matters", F.coalesce(F.sum("part").over(upwards) >= F.col("least"), F.lit(True)))
+        .withColumn("rest", F.sum(F.when(F.col("_matters"), 0.0).otherwise(F.col("part"))).over(per_query))
+    )
+    return written(
+        parts.where("_matters").select("query_id", *keys, "in_title", "times", "least", "rest", "held"),
+        "essential",
+    )
+
+
+def _reaching_pages(index: Index, known: DataFrame, k: int) -> DataFrame:
+    """``query_id, block, pages`` of pages that can be among the first ``k``, from essential words only.
+
+    The postings of essential words are dealt by page, queries are sent to them, and a
+    page is kept if what these words give it, with all that others can add, reaches the
+    lower bound. The k-th of these sums is a second lower bound. Queries come in slices that may
+    be sent whole; what is stored are pages that reach a bound, never all that match.
+    """
+    keys = ["word"] if index.buckets is None else ["word_bucket", "word"]
+    share = (impact() / F.greatest("document_size", F.lit(1))).alias("share")
+    by_sum = Window.partitionBy("query_id").orderBy(F.desc("sum"))
+    found = []
+    for essential in slices(_essential(index, known, keys, k), "query_id"):
+        asked = _sent(essential.select(*keys, "in_title").distinct())
+        held = on_postings(index, asked, [*keys, "in_title"])
+        tasks = _tasks(held, essential.agg(F.sum("held")).first()[0] or 0)
+        held = held.select(*keys, "in_title", "block", "slot", share).repartition(tasks, "block", "slot")
+        sums = written(
+            held.join(_sent(essential.drop("held")), [*keys, "in_title"])
+            .groupBy("query_id", "block", "slot")
+            .agg(
+                F.sum(F.col("share") * F.col("times")).alias("sum"),
+                F.max("least").alias("least"), F.max("rest").alias("rest"),
+            )
+            .where("least IS NULL OR sum + rest >= least")
+            .drop("least"),
+            "sums",
+        )
+        least = (
+            sums.withColumn("_n", F.row_number().over(by_sum)).where(F.col("_n") <= k)
+            .where(F.col("_n") == k)
+            .select("query_id", (F.col("sum") * (1 - MARGIN)).alias("least"))
+        )
+        least = written(least, "least")
+        found.append(written(
+            sums.join(_sent(least), "query_id", "left")
+            .where("least IS NULL OR sum + rest >= least")
+            .groupBy("query_id", "block").agg(bits_of_slots().alias("pages")),
+            "reaching",
+        ))
+    pages = found[0]
+    for more in found[1:]:
+        pages = pages.unionByName(more)
+    return pages
+
+
 def contenders(index: Index, found: Matches, k: int) -> DataFrame:
     """Scores of all pages that can be among the first ``k`` of their query.
 
@@ -244,9 +371,12 @@ def contenders(index: Index, found: Matches, k: int) -> DataFrame:
     bounds are scored first. Their k-th score is a lower bound of the k-th score of
     all; pages whose own bound is below it are never scored, and blocks without any
     other page are never looked up. The margin is wider than the digits that
-    rankings compare (``SCORE_DIGITS``), so ties are all found.
+    rankings compare (``SCORE_DIGITS``), so ties are all found. Many short queries find their
+    pages by word instead (:func:`_reaching_pages`), as most of their blocks would hold none.
     """
     known = found.known.where("n_phrases = 0")
+    if found.by_page:
+        return _with_phrased(index, found, _scores_in(index, known, unsent(_reaching_pages(index, known, k))))
     by_bound = Window.partitionBy("query_id").orderBy(F.desc("upper"), "block")
     # k blocks hold k matches or more; Spark keeps k rows per query and task
     best = found.blocks.withColumn("_n", F.row_number().over(by_bound)).where(F.col("_n") <= k)
@@ -281,7 +411,10 @@ def contenders(index: Index, found: Matches, k: int) -> DataFrame:
         ).alias("pages"))
         .where("pages <> 0")
     )
-    hits = scored.unionByName(_scores_in(index, known, rest))
+    return _with_phrased(index, found, scored.unionByName(_scores_in(index, known, rest)))
+
+
+def _with_phrased(index: Index, found: Matches, hits: DataFrame) -> DataFrame:
     if found.holding is None:
         return hits
     phrased = found.known.where("n_phrases > 0")
@@ -364,6 +497,15 @@ def top_results(
     )
 
 
+def _count_by_slices(index: Index, known: DataFrame) -> DataFrame:
+    """``query_id, n``, counted for as many queries at a time as may be sent to all blocks."""
+    counts = None
+    for some in slices(known, "query_id"):
+        n = written(block_hits(index, some).groupBy("query_id").agg(F.sum("hits").alias("n")), "counts")
+        counts = n if counts is None else counts.unionByName(n)
+    return counts
+
+
 def hit_counts(
     index: Index, parsed: DataFrame, k: int = 50, found: Matches | None = None
 ) -> DataFrame:
@@ -382,7 +524,10 @@ def hit_counts(
     if blocks is None:
         counts = scores(index, parsed, found).groupBy("query_id").agg(F.count("*").alias("n"))
     else:
-        counts = blocks.groupBy("query_id").agg(F.sum("hits").alias("n"))
+        if found.by_page:
+            counts = _count_by_slices(index, found.known.where("n_phrases = 0"))
+        else:
+            counts = blocks.groupBy("query_id").agg(F.sum("hits").alias("n"))
         if holding is not None:
             counts = counts.unionByName(holding.groupBy("query_id").agg(F.count("*").alias("n")))
     total = F.coalesce("n", F.lit(0))
