@@ -48,3 +48,14 @@ def test_postings_of_large_batches_do_not_move(spark, monkeypatch):
         return sorted((r.query_id, r.url, f"{r.score:.9e}") for r in scoring.top_results(store.load(), queries).collect())
 
     assert shown(lying) == shown(moved)
+
+
+def test_frequencies_of_a_first_batch_are_summed_once(spark, monkeypatch):
+    calls, held = [], IndexStore._held
+    monkeypatch.setattr(IndexStore, "_held", lambda self, batch: calls.append(batch) or held(self, batch))
+    table = spark.createDataFrame([("a", "tart pie pie"), ("b", "pie")], "name string, text string")
+    store = IndexStore(spark, new_folder(spark, "once"), buckets=2)
+    store.append(analyse(plain_fields(table, F.col("name"), F.col("text"))), 0)
+    assert calls == [0]
+    assert {r.word: r.document_frequency for r in store.load().keywords.collect()} == {"tart": 1, "pie": 2}
+    assert store._frequent() == ("pie", "tart")
