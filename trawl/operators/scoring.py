@@ -12,7 +12,7 @@ from trawl.functions.blocks import (
 )
 from trawl.functions.dates import display_date
 from trawl.operators.matching import (
-    known_terms, on_postings, pages_with_all_phrases, postings_for,
+    known_terms, on_postings, pages_with_all_phrases, postings_for, urls_are_unique,
 )
 from trawl.plans.index import Index
 from trawl.session import few, slices, unsent, written
@@ -180,7 +180,7 @@ def _is_sparse(index: Index, known: DataFrame) -> bool:
     asked = known.agg(F.countDistinct("query_id").alias("n"), F.sum("document_frequency").alias("held")).first()
     if not asked.n or asked.held >= DENSE_WORDS * asked.n * index.corpus.first().n_documents:
         return False
-    return not index.documents.groupBy("url").count().where("count > 1").take(1)
+    return urls_are_unique(index)
 
 
 def _summed(weights: DataFrame) -> DataFrame:
